@@ -4,12 +4,13 @@ Short legs take the outermost strikes (highest call, lowest put), long legs the
 """
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strikeloom.functions.money import round_cents_half_even
-from strikeloom.operators.chains import outer_two, present, strike_prices
+from strikeloom.operators.chains import has_whole_key, outer_two, strike_prices
 from strikeloom.schema import CHAIN_KEY, CONDOR_COLUMNS
 
 # Label, input columns, and the type and rank that make each leg.
@@ -47,19 +48,21 @@ def iron_condors(silver: DataFrame) -> DataFrame:
     """One condor per chain that has all four legs, pivoting the legs in a single aggregate."""
     picks = []
     for leg in LEGS:
+        chosen = _is_leg(leg) & has_whole_key()
         picks += [
-            F.max(F.when(_is_leg(leg), F.col("strike_price"))).alias(f"strike_{leg}"),
-            F.max(F.when(_is_leg(leg), F.col("mid_price"))).alias(f"price_{leg}"),
+            F.max(F.when(chosen, F.col("strike_price"))).alias(f"strike_{leg}"),
+            F.max(F.when(chosen, F.col("mid_price"))).alias(f"price_{leg}"),
         ]
     pivoted = condor_legs(silver).groupBy(*CHAIN_KEY).agg(*picks)
-    return _finish(present(pivoted, *[f"strike_{leg}" for leg in LEGS]))
+    complete = reduce(and_, [F.col(f"strike_{leg}").isNotNull() for leg in LEGS])
+    return _finish(pivoted.where(complete))
 
 
 def iron_condors_by_joins(silver: DataFrame) -> DataFrame:
     """The same condors as a four-way inner join of the legs on the chain key."""
     legs = condor_legs(silver)
     sides = [
-        legs.where(_is_leg(leg)).select(
+        legs.where(_is_leg(leg) & F.col("strike_price").isNotNull()).select(
             *CHAIN_KEY,
             F.col("strike_price").alias(f"strike_{leg}"),
             F.col("mid_price").alias(f"price_{leg}"),

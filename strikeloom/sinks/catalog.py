@@ -25,10 +25,15 @@ def partition_values(spark: SparkSession, table: str) -> list[str]:
     return [value for value in values if value != NULL_PARTITION]
 
 
+def _literal(value: str | None) -> str:
+    if value is None:
+        return "NULL"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def drop_partitions(spark: SparkSession, table: str, column: str, values: list[str | None]) -> None:
     for value in values:
-        literal = "NULL" if value is None else "'" + value.replace("'", "\\'") + "'"
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = {literal})")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = {_literal(value)})")
 
 
 @contextmanager

@@ -1,7 +1,6 @@
 """The bronze, silver and gold tables of one database."""
 
 from collections.abc import Callable, Iterable
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +42,7 @@ def replace_bronze_files(quotes: DataFrame, table: str) -> set[str]:
 
     A file that has no rows any more also loses the rows of its earlier version.
     """
-    files = {unquote(uri.rsplit("/", 1)[1]) for uri in quotes.inputFiles()}
+    files = {uri.rsplit("/", 1)[1] for uri in quotes.inputFiles()}
     written = replace_partitions(quotes, table, "file_name")
     emptied = files - written
     drop_partitions(quotes.sparkSession, table, "file_name", sorted(emptied))

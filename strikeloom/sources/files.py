@@ -7,6 +7,7 @@ from strikeloom.schema import QUOTE_SCHEMA
 
 
 def _with_file_name(quotes: DataFrame) -> DataFrame:
+    """Add the last part of the file's URI, in which special characters stay percent-encoded."""
     return quotes.select("*", F.col("_metadata.file_name").alias("file_name"))
 
 

@@ -56,3 +56,7 @@ def run_intake(
         .start()
     )
     query.awaitTermination()
+    # Batches are written in a session of the stream; this one may hold older file listings.
+    for table in (bronze_table(database), silver_table(database)):
+        if spark.catalog.tableExists(table):
+            spark.catalog.refreshTable(table)

@@ -1,0 +1,252 @@
+from datetime import date
+
+import pytest
+
+from helpers import csv_line, write_csv
+from strikeloom import jobs
+from strikeloom.checks.scratch import scratch_database
+from strikeloom.operators.lookback import newest_stored_date
+from strikeloom.plans.registry import STRATEGIES, Strategy
+from strikeloom.schema import QUOTE_SCHEMA, SILVER_HEAD, SILVER_TAIL
+from strikeloom.sinks import maintenance
+from strikeloom.sinks.catalog import session_conf
+from strikeloom.sinks.layers import bronze_table, gold_table, read_silver, silver_table
+from strikeloom.sources.files import read_quote_csv, read_quote_parquet
+from strikeloom.streaming.intake import run_intake
+
+CHAIN = ["SPX   250221C01000000", "SPX   250221C01100000", "SPX   250221P00900000",
+         "SPXW  250221P00800000"]
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+def file_of(stamp):
+    return f"opra-pillar-{stamp}.cbbo-1m.csv"
+
+
+@pytest.fixture
+def landing(tmp_path):
+    for stamp in ("20250127", "20250128", "20250129"):
+        write_csv(tmp_path / "landing", file_of(stamp), [csv_line(s) for s in CHAIN])
+    return tmp_path / "landing"
+
+
+@pytest.fixture
+def database(spark):
+    return scratch_database(spark)
+
+
+def coverage(spark, database):
+    silver = spark.table(silver_table(database))
+    return {d and str(d): n for d, n in silver.groupBy("trade_date").count().collect()}
+
+
+def test_csv_is_typed_and_named(spark, landing):
+    rows = read_quote_csv(spark, str(landing))
+    assert rows.columns == [*QUOTE_SCHEMA.fieldNames(), "file_name"]
+    row = rows.where("file_name like '%20250128%'").orderBy("symbol").first()
+    assert row.ts_event is None and row.price is None
+    assert row.ts_recv.isoformat().startswith("2025-01-28T14:31:00")
+    assert row.instrument_id == "1258322251"
+    assert row.symbol == CHAIN[0]
+    assert row.file_name == file_of("20250128")
+
+
+def test_csv_with_other_columns_is_refused(spark, tmp_path):
+    bad = tmp_path / "bad.csv"
+    bad.write_text("a,b\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header|schema|column"):
+        read_quote_csv(spark, str(bad)).collect()
+
+
+def test_parquet_source(spark, landing, tmp_path):
+    quotes = read_quote_csv(spark, str(landing)).drop("file_name")
+    quotes.write.parquet(str(tmp_path / "plain"))
+    assert read_quote_parquet(spark, str(tmp_path / "plain")).columns[-1] == "file_name"
+    read_quote_csv(spark, str(landing)).write.parquet(str(tmp_path / "named"))
+    names = read_quote_parquet(spark, str(tmp_path / "named")).select("file_name").distinct()
+    assert names.count() == 3
+
+
+def test_bootstrap_replaces_everything(spark, landing, database, tmp_path):
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    assert spark.table(bronze_table(database)).count() == 12
+    assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-28": 4, "2025-01-29": 4}
+    silver = read_silver(spark, silver_table(database))
+    assert silver.columns[: len(SILVER_HEAD)] == list(SILVER_HEAD)
+    assert silver.columns[-len(SILVER_TAIL) :] == list(SILVER_TAIL)
+
+    other = write_csv(tmp_path / "other", file_of("20250203"), [csv_line(CHAIN[0])])
+    jobs.load(spark, other, database, bootstrap=True)
+    assert spark.table(bronze_table(database)).count() == 1
+    assert coverage(spark, database) == {"2025-02-03": 1}
+
+
+def test_incremental_load_is_idempotent(spark, landing, database):
+    first, *rest = sorted(str(p) for p in landing.iterdir())
+    jobs.load(spark, first, database)
+    jobs.load(spark, rest, database)
+    jobs.load(spark, rest, database)
+    assert spark.table(bronze_table(database)).count() == 12
+    assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-28": 4, "2025-01-29": 4}
+    assert spark.conf.get(OVERWRITE_MODE).upper() == "STATIC"
+
+
+def test_new_version_of_a_file_replaces_the_old_one(spark, landing, database):
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    path = write_csv(landing, file_of("20250128"), [csv_line(CHAIN[0])])
+    jobs.load(spark, path, database)
+    assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-28": 1, "2025-01-29": 4}
+    path = write_csv(landing, file_of("20250128"), [])
+    jobs.load(spark, path, database)
+    assert spark.table(bronze_table(database)).count() == 8
+    assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-29": 4}
+
+
+def test_two_files_of_one_date(spark, landing, database):
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    late = write_csv(landing.parent / "late", "late-20250128.csv", [csv_line(CHAIN[0])])
+    jobs.load(spark, late, database)
+    assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-28": 5, "2025-01-29": 4}
+
+
+def test_files_without_date(spark, landing, database):
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    path = write_csv(landing.parent / "odd", "nodate.csv", [csv_line(CHAIN[0])])
+    jobs.load(spark, path, database)
+    assert coverage(spark, database)[None] == 1
+    jobs.load(spark, path, database)
+    assert coverage(spark, database)[None] == 1
+    write_csv(landing.parent / "odd", "nodate.csv", [])
+    jobs.load(spark, path, database)
+    assert None not in coverage(spark, database)
+    assert newest_stored_date(spark, silver_table(database)) == date(2025, 1, 29)
+
+
+def test_policy_that_empties_a_date(spark, landing, database):
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    path = str(landing / file_of("20250128"))
+    jobs.load(spark, path, database, policies=["zero_dte"])
+    assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-29": 4}
+    assert spark.table(bronze_table(database)).count() == 12
+
+
+def test_file_names_with_special_characters(spark, landing, database):
+    path = write_csv(landing, "a b+c=%41-20250130.csv", [csv_line(CHAIN[0])])
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    assert spark.table(bronze_table(database)).count() == 13
+    write_csv(landing, "a b+c=%41-20250130.csv", [])
+    jobs.load(spark, str(landing), database)
+    assert path and spark.table(bronze_table(database)).count() == 12
+    assert "2025-01-30" not in coverage(spark, database)
+
+
+def test_stream_equals_batch_and_resumes(spark, landing, database, tmp_path):
+    checkpoint = str(tmp_path / "checkpoint")
+    run_intake(spark, str(landing), database, checkpoint, files_per_batch=2)
+    batch = scratch_database(spark)
+    jobs.load(spark, str(landing), batch, bootstrap=True)
+
+    def rows(name):
+        return sorted(map(str, read_silver(spark, silver_table(name)).collect()))
+
+    assert rows(database) == rows(batch)
+    write_csv(landing, "late-20250128.csv", [csv_line(CHAIN[0])])
+    write_csv(landing, file_of("20250130"), [csv_line(s) for s in CHAIN])
+    run_intake(spark, str(landing), database, checkpoint, files_per_batch=2)
+    run_intake(spark, str(landing), database, checkpoint, files_per_batch=2)
+    assert coverage(spark, database) == {
+        "2025-01-27": 4, "2025-01-28": 5, "2025-01-29": 4, "2025-01-30": 4,
+    }
+
+
+def test_stream_archives_processed_files(spark, landing, database, tmp_path):
+    checkpoint, archive = str(tmp_path / "checkpoint"), tmp_path / "archive"
+    run_intake(spark, str(landing), database, checkpoint, 1, str(archive))
+    write_csv(landing, file_of("20250130"), [csv_line(s) for s in CHAIN])
+    run_intake(spark, str(landing), database, checkpoint, 1, str(archive))
+    assert sum(coverage(spark, database).values()) == 16
+    assert list(archive.rglob("*.csv"))
+
+
+def _failing(_):
+    raise RuntimeError("on purpose")
+
+
+def test_strategies_run_side_by_side(spark, landing, database):
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    registry = {**STRATEGIES, "Failing": Strategy(("symbol",), _failing)}
+    outcome = jobs.run_strategies(spark, database, [*registry, "Unknown"], registry)
+    assert outcome == {
+        "LaymanSPYStrategy": True, "LaymanQQQStrategy": True, "IronCondorStrategy": True,
+        "Failing": False, "Unknown": False,
+    }
+    assert spark.table(gold_table(database, "IronCondorStrategy")).count() == 3
+    assert spark.table(gold_table(database, "LaymanQQQStrategy")).count() == 12
+    assert not jobs.has_gold(spark, database, "Failing")
+    assert spark.conf.get(OVERWRITE_MODE).upper() == "STATIC"
+    counts = jobs.gold_counts(spark, database, ["IronCondorStrategy"]).collect()
+    assert [tuple(r) for r in counts] == [("IronCondorStrategy", 3)]
+    assert jobs.gold_sample(spark, database, "LaymanSPYStrategy", 5).count() == 5
+
+
+def test_active_strategies_run_by_default_and_gold_is_replaced(spark, landing, database):
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    assert jobs.run_strategies(spark, database) == {"IronCondorStrategy": True}
+    gold = gold_table(database, "IronCondorStrategy")
+    jobs.load(spark, write_csv(landing, file_of("20250128"), [csv_line(CHAIN[0])]), database)
+    assert jobs.run_strategies(spark, database) == {"IronCondorStrategy": True}
+    dates = sorted(str(r.trade_date) for r in spark.table(gold).collect())
+    assert dates == ["2025-01-27", "2025-01-29"]
+
+
+def test_empty_silver_is_success_without_gold(spark, database, tmp_path):
+    path = write_csv(tmp_path / "none", file_of("20250128"), [])
+    jobs.load(spark, path, database)
+    assert jobs.run_strategies(spark, database) == {"IronCondorStrategy": True}
+    assert not jobs.has_gold(spark, database, "IronCondorStrategy")
+
+
+def test_newest_date_skips_empty_partitions(spark, landing, database):
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    table = silver_table(database)
+    spark.sql(f"ALTER TABLE {table} ADD PARTITION (trade_date = '2026-01-01')")
+    assert newest_stored_date(spark, table) == date(2025, 1, 29)
+
+
+def test_slice_refuses_its_own_source(spark, landing, database):
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    table, target = silver_table(database), f"{database}.puts"
+    maintenance.materialize_slice(spark, table, target, "option_type = 'PUT'")
+    assert spark.table(target).count() == 6
+    with pytest.raises(ValueError, match="slice"):
+        maintenance.materialize_slice(spark, table, table.upper(), "true")
+
+
+def test_compaction_merges_files_and_keeps_rows(spark, landing, database):
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    table = f"{database}.fragments"
+    silver = spark.table(silver_table(database))
+    silver.repartition(3).write.partitionBy("trade_date").saveAsTable(table)
+    before = sorted(map(str, spark.table(table).collect()))
+    assert len(maintenance.compact(spark, table, "trade_date")) == 3
+    assert sorted(map(str, spark.table(table).collect())) == before
+    assert len(spark.table(table).inputFiles()) == 3
+    assert maintenance.compact(spark, table, "trade_date") == []
+
+
+def test_compaction_with_missing_dates(spark, database):
+    table = f"{database}.undated"
+    rows = spark.range(40).selectExpr("id", "if(id < 20, null, date'2025-01-01') AS trade_date")
+    rows.repartition(4).write.partitionBy("trade_date").saveAsTable(table)
+    assert set(maintenance.compact(spark, table, "trade_date")) == {None, "2025-01-01"}
+    counts = {r[0] and str(r[0]): r[1] for r in spark.table(table).groupBy("trade_date").count().collect()}
+    assert counts == {None: 20, "2025-01-01": 20}
+    assert len(spark.table(table).inputFiles()) == 2
+
+
+def test_settings_are_restored_after_a_failure(spark):
+    before = spark.conf.get(OVERWRITE_MODE)
+    with pytest.raises(RuntimeError), session_conf(spark, {OVERWRITE_MODE: "dynamic"}):
+        raise RuntimeError
+    assert spark.conf.get(OVERWRITE_MODE) == before

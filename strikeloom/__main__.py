@@ -21,6 +21,7 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     parser.add_argument("--path", help="landed quote files (dataload, stream)")
     parser.add_argument("--format", default="csv", choices=["csv", "parquet"])
     parser.add_argument("--bootstrap", action="store_true", help="replace all loaded data")
+    parser.add_argument("--regroup", action="store_true", help="for many small files")
     parser.add_argument("--policies", nargs="*", default=[], choices=sorted(POLICIES))
     parser.add_argument("--strategies", nargs="*", help=f"any of {', '.join(STRATEGIES)}")
     parser.add_argument("--checkpoint", help="progress of the file stream")
@@ -44,6 +45,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
             options.bootstrap,
             options.format,
             options.policies,
+            regroup=options.regroup,
         )
     elif options.mode == "stream":
         run_intake(

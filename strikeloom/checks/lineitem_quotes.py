@@ -5,38 +5,41 @@ two-sided quote and the name of the file it would have come in: 40 trade dates w
 each. It only maps rows, so its output grows with ``lineitem``.
 """
 
+from collections.abc import Sequence
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strikeloom.schema import QUOTE_SCHEMA
 
 # Fixed values of the derivation; the check SQL states the same ones.
-FIRST_DATE = "2025-01-01"
-TRADE_DATES = 40
+TRADE_DATES = [date(2025, 1, 1) + timedelta(days) for days in range(40)]
+TERMS = (0, 7, 30)
 ROOTS = ("SPX", "SPXW", "NDX", "RUT", "AAPL", "MSFT")
 RARE_ROOT = "VIX"
 FIRST_MINUTE = 14 * 3600 + 31 * 60
 
 
+def _pick(values: Sequence, index: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(value) for value in values]), index.cast("int") + 1)
+
+
 def _root() -> Column:
     rare = (F.col("l_quantity") == 50) & (F.col("l_discount") == 0.1)
-    cycled = F.element_at(
-        F.array(*[F.lit(root) for root in ROOTS]), (F.col("l_suppkey") % len(ROOTS) + 1).cast("int")
-    )
-    return F.when(rare, RARE_ROOT).otherwise(cycled)
+    return F.when(rare, RARE_ROOT).otherwise(_pick(ROOTS, F.col("l_suppkey") % len(ROOTS)))
 
 
 def quotes_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    day = (F.col("l_orderkey") % TRADE_DATES).cast("int")
-    term = F.col("l_orderkey") % 3
-    days_left = F.when(term == 0, 0).when(term == 1, 7).otherwise(30)
-    dated = lineitem.withColumn("_traded", F.date_add(F.lit(FIRST_DATE).cast("date"), day))
-    dated = dated.withColumn("_expires", F.date_add("_traded", days_left))
+    day = F.col("l_orderkey") % len(TRADE_DATES)
+    term = F.col("l_orderkey") % len(TERMS)
+    expiries = [f"{d + timedelta(days):%y%m%d}" for d in TRADE_DATES for days in TERMS]
+    names = [f"opra-pillar-{d:%Y%m%d}.cbbo-1m.csv" for d in TRADE_DATES]
 
     side = F.when(F.col("l_linenumber") % 2 == 0, "C").otherwise("P")
     strike = (1000 + F.col("l_partkey") % 20 * 25) * 100
-    midnight = F.unix_date("_traded").cast("bigint") * 86400
+    midnight = (day + (TRADE_DATES[0] - date(1970, 1, 1)).days) * 86400
     columns = {
         "ts_recv": F.timestamp_seconds(midnight + FIRST_MINUTE + F.col("l_partkey") % 390 * 60),
         "rtype": F.lit(193),
@@ -53,7 +56,7 @@ def quotes_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ask_pb_00": F.lit(0),
         "symbol": F.concat(
             F.rpad(_root(), 6, " "),
-            F.date_format("_expires", "yyMMdd"),
+            _pick(expiries, day * len(TERMS) + term),
             side,
             F.lpad(strike.cast("string"), 8, "0"),
         ),
@@ -62,9 +65,7 @@ def quotes_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         columns.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name)
         for field in QUOTE_SCHEMA
     ]
-    stamp = F.date_format("_traded", "yyyyMMdd")
-    file_name = F.concat(F.lit("opra-pillar-"), stamp, F.lit(".cbbo-1m.csv"))
-    return dated.select(*quotes, file_name.alias("file_name"))
+    return lineitem.select(*quotes, _pick(names, day).alias("file_name"))
 
 
 def bar_replies_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,21 +38,23 @@ def load(
     raw_format: str = "csv",
     policies: Iterable[str] = (),
     underlyings: Mapping[str, str] = UNDERLYINGS,
+    regroup: bool = False,
 ) -> None:
     """Quote files to bronze and silver.
 
     ``bootstrap`` makes the files the whole content of both tables. Otherwise they are added, or
     replace earlier versions of themselves, and only their trade dates are enriched again; naming
-    files that were loaded before reprocesses them.
+    files that were loaded before reprocesses them. Set ``regroup`` for many small files.
     """
     create_database(spark, database)
     enrichment = partial(enrich, underlyings=underlyings, policies=named(policies))
     quotes = READERS[raw_format](spark, path)
     if bootstrap:
-        replace_bronze(quotes, bronze_table(database))
-        rebuild_silver(spark, bronze_table(database), silver_table(database), enrichment)
+        bronze, silver = bronze_table(database), silver_table(database)
+        replace_bronze(quotes, bronze)
+        rebuild_silver(spark, bronze, silver, enrichment, regroup)
     else:
-        absorb(quotes, database, enrichment)
+        absorb(quotes, database, enrichment, regroup)
 
 
 def run_strategy(

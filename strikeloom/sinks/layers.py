@@ -56,17 +56,28 @@ def trade_dates_of(spark: SparkSession, files: Iterable[str]) -> set[str | None]
     return {day for (day,) in dates.collect()}
 
 
-def rebuild_silver(spark: SparkSession, bronze: str, silver: str, enrichment: Enrichment) -> None:
-    """Silver from all of bronze.
-
-    Bronze partitions hold one file, hence one trade date each: a task meets few dates and the
-    write needs no shuffle. ``maintenance.compact`` merges small files where sizes matter more.
+def _by_date(rows: DataFrame, regroup: bool) -> DataFrame:
+    """Bronze partitions hold one file, hence one trade date each, so a task meets few dates and
+    writes few files without a shuffle. ``regroup`` gathers the rows of a date first: worth its
+    shuffle where files landed small and many. A large date is still split over several tasks.
     """
-    replace_table(enrichment(spark.table(bronze)), silver, "trade_date")
+    return rows.hint("rebalance", "trade_date") if regroup else rows
+
+
+def rebuild_silver(
+    spark: SparkSession, bronze: str, silver: str, enrichment: Enrichment, regroup: bool = False
+) -> None:
+    """Silver from all of bronze."""
+    replace_table(_by_date(enrichment(spark.table(bronze)), regroup), silver, "trade_date")
 
 
 def refresh_silver(
-    spark: SparkSession, bronze: str, silver: str, enrichment: Enrichment, dates: set[str | None]
+    spark: SparkSession,
+    bronze: str,
+    silver: str,
+    enrichment: Enrichment,
+    dates: set[str | None],
+    regroup: bool = False,
 ) -> None:
     """Rebuild only ``dates``, from every bronze file of those dates, late files included.
 
@@ -76,7 +87,7 @@ def refresh_silver(
     named_date = osi.trade_date(F.col("file_name")).cast("string")
     touched = F.coalesce(named_date, F.lit("")).isin([day or "" for day in dates])
     rows = enrichment(spark.table(bronze).where(touched))
-    written = replace_partitions(rows, silver, "trade_date")
+    written = replace_partitions(_by_date(rows, regroup), silver, "trade_date")
     drop_partitions(spark, silver, "trade_date", list(dates - written))
 
 

@@ -23,12 +23,15 @@ from strikeloom.sources.files import stream_quote_csv
 FILES_PER_BATCH = 15
 
 
-def absorb(quotes: DataFrame, database: str, enrichment: Enrichment) -> None:
+def absorb(
+    quotes: DataFrame, database: str, enrichment: Enrichment, regroup: bool = False
+) -> None:
     """Take quote files into bronze and refresh the silver dates they touch; safe to repeat."""
     spark = quotes.sparkSession
-    files = replace_bronze_files(quotes, bronze_table(database))
+    bronze, silver = bronze_table(database), silver_table(database)
+    files = replace_bronze_files(quotes, bronze)
     dates = trade_dates_of(spark, files)
-    refresh_silver(spark, bronze_table(database), silver_table(database), enrichment, dates)
+    refresh_silver(spark, bronze, silver, enrichment, dates, regroup)
 
 
 def run_intake(

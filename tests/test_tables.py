@@ -102,6 +102,15 @@ def test_new_version_of_a_file_replaces_the_old_one(spark, landing, database):
     assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-29": 4}
 
 
+@pytest.mark.parametrize("bootstrap", [True, False])
+def test_regrouping_merges_the_small_files_of_a_date(spark, landing, database, bootstrap):
+    for part in range(6):
+        write_csv(landing, f"part{part}-20250128.csv", [csv_line(CHAIN[0])])
+    jobs.load(spark, str(landing), database, bootstrap, regroup=True)
+    assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-28": 10, "2025-01-29": 4}
+    assert len(spark.table(silver_table(database)).inputFiles()) == 3
+
+
 def test_two_files_of_one_date(spark, landing, database):
     jobs.load(spark, str(landing), database, bootstrap=True)
     late = write_csv(landing.parent / "late", "late-20250128.csv", [csv_line(CHAIN[0])])

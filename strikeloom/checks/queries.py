@@ -22,6 +22,7 @@ from strikeloom.plans.registry import STRATEGIES, Strategy
 from strikeloom.schema import CHAIN_KEY, CONDOR_COLUMNS, UNDERLYINGS
 from strikeloom.sinks import maintenance
 from strikeloom.sinks.layers import (
+    SILVER_ORDER,
     bronze_table,
     gold_table,
     read_silver,
@@ -213,7 +214,7 @@ def compact_preserves_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"{scratch_database(spark)}.fragmented"
     fragments = silver(spark, sf_dir).repartition(4)
     fragments.write.partitionBy("trade_date").saveAsTable(table)
-    maintenance.compact(spark, table, "trade_date")
+    maintenance.compact(spark, table, "trade_date", SILVER_ORDER)
     return contract_rows(spark.table(table))
 
 

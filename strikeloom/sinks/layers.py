@@ -12,6 +12,10 @@ from strikeloom.sinks.partitioned import replace_partitions, replace_table
 
 Enrichment = Callable[[DataFrame], DataFrame]
 
+# Rows of one contract lie together in the data files.
+BRONZE_ORDER = ("symbol", "ts_recv")
+SILVER_ORDER = ("underlying", "expiry_date", "option_type", "strike_price", "ts_recv")
+
 
 def bronze_table(database: str) -> str:
     return f"{database}.{BRONZE}"
@@ -34,7 +38,7 @@ def read_silver(spark: SparkSession, table: str) -> DataFrame:
 
 def replace_bronze(quotes: DataFrame, table: str) -> None:
     """All landed files at once. Each input split belongs to one file, so nothing is shuffled."""
-    replace_table(quotes, table, "file_name")
+    replace_table(quotes, table, "file_name", BRONZE_ORDER)
 
 
 def replace_bronze_files(quotes: DataFrame, table: str) -> set[str]:
@@ -43,7 +47,7 @@ def replace_bronze_files(quotes: DataFrame, table: str) -> set[str]:
     A file that has no rows any more also loses the rows of its earlier version.
     """
     files = {uri.rsplit("/", 1)[1] for uri in quotes.inputFiles()}
-    written = replace_partitions(quotes, table, "file_name")
+    written = replace_partitions(quotes, table, "file_name", BRONZE_ORDER)
     emptied = files - written
     drop_partitions(quotes.sparkSession, table, "file_name", sorted(emptied))
     return files | written
@@ -68,7 +72,8 @@ def rebuild_silver(
     spark: SparkSession, bronze: str, silver: str, enrichment: Enrichment, regroup: bool = False
 ) -> None:
     """Silver from all of bronze."""
-    replace_table(_by_date(enrichment(spark.table(bronze)), regroup), silver, "trade_date")
+    rows = _by_date(enrichment(spark.table(bronze)), regroup)
+    replace_table(rows, silver, "trade_date", SILVER_ORDER)
 
 
 def refresh_silver(
@@ -87,7 +92,7 @@ def refresh_silver(
     named_date = osi.trade_date(F.col("file_name")).cast("string")
     touched = F.coalesce(named_date, F.lit("")).isin([day or "" for day in dates])
     rows = enrichment(spark.table(bronze).where(touched))
-    written = replace_partitions(_by_date(rows, regroup), silver, "trade_date")
+    written = replace_partitions(_by_date(rows, regroup), silver, "trade_date", SILVER_ORDER)
     drop_partitions(spark, silver, "trade_date", list(dates - written))
 
 

@@ -27,13 +27,18 @@ def file_sizes(spark: SparkSession, table: str, column: str) -> DataFrame:
 
 
 def compact(
-    spark: SparkSession, table: str, column: str, target_bytes: int = TARGET_FILE_BYTES
+    spark: SparkSession,
+    table: str,
+    column: str,
+    order: tuple[str, ...] = (),
+    target_bytes: int = TARGET_FILE_BYTES,
 ) -> list[str | None]:
     """Rewrite partitions that hold more files than their size calls for; returns their values.
 
     Rows are rebalanced by partition value towards the target size, which also splits a large
-    partition over several tasks. Rewritten files are staged and take effect when the job commits;
-    no other job may write to these partitions meanwhile.
+    partition over several tasks, and sorted by ``order`` within each file. Rewritten files are
+    staged and take effect when the job commits; no other job may write to these partitions
+    meanwhile.
     """
     fewest = F.ceil(F.col("bytes") / target_bytes)
     bloated = file_sizes(spark, table, column).where(F.col("files") > fewest).select("value")
@@ -44,5 +49,6 @@ def compact(
     rows = spark.table(table).where(key.isin([value or NULL_PARTITION for value in values]))
     size = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes)}
     with replacing_partitions(spark), session_conf(spark, size):
-        rows.hint("rebalance", column).write.mode("overwrite").insertInto(table)
+        regrouped = rows.hint("rebalance", column).sortWithinPartitions(column, *order)
+        regrouped.write.mode("overwrite").insertInto(table)
     return values

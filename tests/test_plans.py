@@ -3,17 +3,20 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from strikeloom import jobs
 from strikeloom.checks.lineitem_quotes import quotes_from_lineitem
 from strikeloom.checks.queries import landed
 from strikeloom.checks.scratch import scratch_database
+from strikeloom.functions import osi
 from strikeloom.operators import chains, reports
 from strikeloom.operators.enrich import enrich
 from strikeloom.operators.lookback import lookback, newest_stored_date
+from strikeloom.operators.policies import liquidity
 from strikeloom.plans.condor import iron_condors
 from strikeloom.plans.threshold import threshold_signals
-from strikeloom.sinks.layers import bronze_table, silver_table
+from strikeloom.sinks.layers import SILVER_ORDER, bronze_table, silver_table
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -72,10 +75,6 @@ def test_enrichment_is_one_projection(spark):
 
 
 def test_refreshed_dates_prune_bronze_files(spark, stored):
-    from pyspark.sql import functions as F
-
-    from strikeloom.functions import osi
-
     bronze = spark.table(bronze_table(stored))
     date = osi.trade_date(F.col("file_name")).cast("string")
     text = plan(enrich(bronze.where(F.coalesce(date, F.lit("")).isin(["2025-01-03"]))))
@@ -83,8 +82,6 @@ def test_refreshed_dates_prune_bronze_files(spark, stored):
 
 
 def test_liquidity_reaches_the_scan(silver):
-    from strikeloom.operators.policies import liquidity
-
     text = plan(liquidity(silver))
     assert re.search(r"PushedFilters: \[.*GreaterThan\(bid_px_00,0.0\)", text)
 
@@ -97,6 +94,10 @@ def test_reports_combine_before_shuffling(silver):
     assert plan(reports.date_coverage(silver)).count("Exchange hashpartitioning") == 1
 
 
-def test_loads_do_not_shuffle(spark, stored):
+def test_loads_do_not_shuffle_and_sort_once(spark, stored, silver):
     bronze = spark.table(bronze_table(stored))
-    assert "Exchange" not in plan(enrich(bronze))
+    rows = enrich(bronze).sortWithinPartitions("trade_date", *SILVER_ORDER).select(*silver.columns)
+    insert = f"EXPLAIN INSERT OVERWRITE TABLE {silver_table(stored)} SELECT * FROM {{rows}}"
+    text = spark.sql(insert, rows=rows).first()[0]
+    assert "Exchange" not in text
+    assert len(re.findall(r"\bSort \[", text)) == 1

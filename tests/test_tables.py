@@ -67,6 +67,12 @@ def test_parquet_source(spark, landing, tmp_path):
     assert names.count() == 3
 
 
+def test_load_from_parquet(spark, landing, database, tmp_path):
+    read_quote_csv(spark, str(landing)).write.parquet(str(tmp_path / "named"))
+    jobs.load(spark, str(tmp_path / "named"), database, bootstrap=True, raw_format="parquet")
+    assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-28": 4, "2025-01-29": 4}
+
+
 def test_bootstrap_replaces_everything(spark, landing, database, tmp_path):
     jobs.load(spark, str(landing), database, bootstrap=True)
     assert spark.table(bronze_table(database)).count() == 12

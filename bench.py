@@ -41,6 +41,14 @@ def session(cpus: str) -> SparkSession:
     )
 
 
+def scale(sf_dir: str) -> float | str:
+    name = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def run_all(frame: DataFrame) -> None:
     frame.write.format("noop").mode("overwrite").save()
 
@@ -100,8 +108,8 @@ def main() -> None:
                 "value": round(sum(measured.values()), 3),
                 "unit": "sec",
                 "queries": measured,
-                "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
-                "cpus": cpus,
+                "sf": scale(sf_dir),
+                "cpus": int(cpus),
                 "load_mb_per_sec": round(landed_mb / measured["load_bootstrap"], 1),
             }
         )

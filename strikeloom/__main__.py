@@ -16,7 +16,8 @@ from strikeloom.streaming.intake import FILES_PER_BATCH, run_intake
 
 def parse(arguments: list[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="strikeloom", description=__doc__)
-    parser.add_argument("--mode", required=True, choices=["dataload", "strategy", "stream", "compact"])
+    modes = ["dataload", "strategy", "stream", "compact"]
+    parser.add_argument("--mode", required=True, choices=modes)
     parser.add_argument("--database", default="options")
     parser.add_argument("--path", help="landed quote files (dataload, stream)")
     parser.add_argument("--format", default="csv", choices=["csv", "parquet"])

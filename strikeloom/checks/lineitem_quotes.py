@@ -84,5 +84,6 @@ def bar_replies_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     ticker = F.concat(F.lit("O:S"), F.col("l_suppkey"))
     return replies.select(
-        ticker.alias("ticker"), F.when(F.col("l_suppkey") % 10 != 0, F.col("results")).alias("results")
+        ticker.alias("ticker"),
+        F.when(F.col("l_suppkey") % 10 != 0, F.col("results")).alias("results"),
     )

@@ -156,7 +156,8 @@ SQL = {
     "iron_condor_all": ALL_CONDORS + "SELECT * FROM condor",
     "iron_condor_joins": ALL_CONDORS + "SELECT * FROM condor",
     "silver_enriched": QUOTES + SILVER_ROWS,
-    "osi_decompose": QUOTES + "SELECT symbol, root, expiry_date, option_type, strike_price FROM parsed",
+    "osi_decompose": QUOTES
+    + "SELECT symbol, root, expiry_date, option_type, strike_price FROM parsed",
     "trade_date_from_file": QUOTES
     + "SELECT file_name, trade_date, count(*) AS row_count FROM parsed GROUP BY ALL",
     "mid_price": QUOTES + "SELECT bid_px_00, ask_px_00, mid_price FROM silver",

@@ -250,7 +250,8 @@ def osi_decompose(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trade_date_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dated = quotes(spark, sf_dir).select("file_name", osi.trade_date(F.col("file_name")).alias("trade_date"))
+    trade_date = osi.trade_date(F.col("file_name")).alias("trade_date")
+    dated = quotes(spark, sf_dir).select("file_name", trade_date)
     return dated.groupBy("file_name", "trade_date").agg(F.count(F.lit(1)).alias("row_count"))
 
 

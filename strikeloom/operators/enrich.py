@@ -22,7 +22,7 @@ def underlying_of(root: Column, underlyings: Mapping[str, str] = UNDERLYINGS) ->
 
 
 def with_underlying_from(quotes: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Add ``underlying`` by joining a ``root, underlying`` table, for mappings too long for a literal.
+    """Add ``underlying`` by joining a table of ``root, underlying``, for long mappings.
 
     Every quote is kept exactly once: the dimension is made unique per root first. No broadcast is
     forced; Spark broadcasts the dimension when its measured size allows and otherwise shuffles,

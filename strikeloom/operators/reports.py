@@ -32,14 +32,14 @@ def latest_dates(silver: DataFrame, n: int = 5) -> DataFrame:
 
 def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
     counts = [
-        frame.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("layer"), "row_count")
+        frame.agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("row_count"))
         for name, frame in layers.items()
     ]
     return reduce(DataFrame.unionByName, counts)
 
 
 def range_profile(frame: DataFrame, columns: list[str]) -> DataFrame:
-    """Minimum, maximum, non-null and null count of each column, over the whole table in one pass."""
+    """Minimum, maximum, non-null and null count of each column, in one pass over the table."""
     profile = [F.count(F.lit(1)).alias("row_count")]
     for name in columns:
         profile += [

@@ -23,7 +23,7 @@ class Strategy:
     regroup: bool = False
 
 
-# Names, lookbacks and underlyings of the strategies, and which of them run by default.
+# Names, lookbacks and underlyings of the strategies, and those run by default.
 STRATEGIES = {
     "LaymanSPYStrategy": Strategy(
         columns=threshold.INPUT,

@@ -13,7 +13,8 @@ def materialize_slice(spark: SparkSession, source: str, target: str, criteria: s
     """Store the rows of ``source`` that meet a SQL predicate as table ``target``."""
     if source.lower() == target.lower():
         raise ValueError("a slice cannot replace the table it is read from")
-    spark.table(source).where(criteria).write.mode("overwrite").format("parquet").saveAsTable(target)
+    rows = spark.table(source).where(criteria)
+    rows.write.mode("overwrite").format("parquet").saveAsTable(target)
 
 
 def file_sizes(spark: SparkSession, table: str, column: str) -> DataFrame:

@@ -127,17 +127,17 @@ def test_dates_equal_pattern_parsing(spark):
 
 def test_decimals_equal_division(spark):
     """Multiplying by exact decimals gives what dividing gives, for odd strike text as well."""
-    texts = ["05600500", "00000001", "99999999", "12.345  ", "   1.5  ", "-1000000", "1e3     ", "1"]
+    texts = ["05600500", "00000001", "99999999", "12.345  ", "   1.5  ", "-1000000", "1e3 ", "1"]
     symbols = spark.createDataFrame([(f"SPX   240419C{t}",) for t in texts], "symbol string")
     divided = F.substring("symbol", 14, 8).try_cast("decimal(10,2)") / 1000
-    rows = symbols.select(osi.strike_price(F.col("symbol")).alias("got"), divided.alias("e")).collect()
+    got = osi.strike_price(F.col("symbol"))
+    rows = symbols.select(got.alias("got"), divided.alias("e")).collect()
     assert [r.got for r in rows] == [r.e for r in rows]
     assert all(r.got is not None for r in rows)
 
-    prices = spark.createDataFrame(
-        [(a, b) for a in (0.0, 0.005, 0.015, 1.005, 99999999.99) for b in (0.01, 2.675, 99999999.99)],
-        "bid double, ask double",
-    )
+    sides = (0.0, 0.005, 0.01, 0.015, 1.005, 2.675, 99999999.99)
+    pairs = [(bid, ask) for bid in sides for ask in sides]
+    prices = spark.createDataFrame(pairs, "bid double, ask double")
     divided = (F.col("bid").cast("decimal(10,2)") + F.col("ask").cast("decimal(10,2)")) / 2
     got = osi.mid_price(F.col("bid"), F.col("ask"))
     assert all(r.got == r.e for r in prices.select(got.alias("got"), divided.alias("e")).collect())

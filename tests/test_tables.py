@@ -255,7 +255,8 @@ def test_compaction_with_missing_dates(spark, database):
     rows = spark.range(40).selectExpr("id", "if(id < 20, null, date'2025-01-01') AS trade_date")
     rows.repartition(4).write.partitionBy("trade_date").saveAsTable(table)
     assert set(maintenance.compact(spark, table, "trade_date")) == {None, "2025-01-01"}
-    counts = {r[0] and str(r[0]): r[1] for r in spark.table(table).groupBy("trade_date").count().collect()}
+    counted = spark.table(table).groupBy("trade_date").count().collect()
+    counts = {day and str(day): rows for day, rows in counted}
     assert counts == {None: 20, "2025-01-01": 20}
     assert len(spark.table(table).inputFiles()) == 2
 

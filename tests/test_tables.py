@@ -12,6 +12,7 @@ from strikeloom.sinks import maintenance
 from strikeloom.sinks.catalog import session_conf
 from strikeloom.sinks.layers import bronze_table, gold_table, read_silver, silver_table
 from strikeloom.sources.files import read_quote_csv, read_quote_parquet
+from strikeloom.streaming import intake
 from strikeloom.streaming.intake import run_intake
 
 CHAIN = ["SPX   250221C01000000", "SPX   250221C01100000", "SPX   250221P00900000",
@@ -184,6 +185,35 @@ def test_stream_archives_processed_files(spark, landing, database, tmp_path):
     assert list(archive.rglob("*.csv"))
 
 
+def _crash(*_):
+    raise RuntimeError("lost between bronze and silver")
+
+
+def test_load_that_broke_off_is_completed_by_running_it_again(
+    spark, landing, database, monkeypatch
+):
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    path = write_csv(landing, file_of("20250128"), [csv_line(CHAIN[0])])
+    with monkeypatch.context() as broken, pytest.raises(RuntimeError):
+        broken.setattr(intake, "refresh_silver", _crash)
+        jobs.load(spark, path, database)
+    assert coverage(spark, database)["2025-01-28"] == 4
+    jobs.load(spark, path, database)
+    assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-28": 1, "2025-01-29": 4}
+
+
+def test_stream_that_broke_off_resumes_without_duplicates(
+    spark, landing, database, tmp_path, monkeypatch
+):
+    checkpoint = str(tmp_path / "checkpoint")
+    with monkeypatch.context() as broken, pytest.raises(Exception, match="between bronze"):
+        broken.setattr(intake, "refresh_silver", _crash)
+        run_intake(spark, str(landing), database, checkpoint, files_per_batch=2)
+    run_intake(spark, str(landing), database, checkpoint, files_per_batch=2)
+    assert spark.table(bronze_table(database)).count() == 12
+    assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-28": 4, "2025-01-29": 4}
+
+
 def _failing(_):
     raise RuntimeError("on purpose")
 

@@ -1,0 +1,26 @@
+"""Base32 of hexadecimal digests as a column expression."""
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Fixed value: the alphabet of RFC 4648.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+def base32(hex_digest: Column) -> Column:
+    """Upper-case base32 of a hex text whose length is a multiple of ten, such as SHA-1."""
+    groups = F.sequence(F.lit(0), (F.length(hex_digest) / 10).cast("int") - 1)
+
+    def letters(group: Column) -> Column:
+        value = F.conv(F.substring(hex_digest, group * 10 + 1, F.lit(10)), 16, 10).cast("long")
+        picks = [
+            F.substring(
+                F.lit(ALPHABET),
+                (F.shiftright(value, 35 - 5 * k).bitwiseAND(F.lit(31)) + 1).cast("int"),
+                F.lit(1),
+            )
+            for k in range(8)
+        ]
+        return F.concat(*picks)
+
+    return F.array_join(F.transform(groups, letters), "")

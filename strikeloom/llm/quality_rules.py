@@ -22,6 +22,8 @@ MEASURES = (
 )
 # Fixed value: a window of repeated text has this many words.
 WINDOW = 3
+# More repeated windows than this are found by sorting instead of by looking each one up.
+FEW = 64
 
 # Rules by name, in the order of their bits; new rules are appended so that stored ledgers stay valid.
 RULES: dict[str, str] = {
@@ -74,20 +76,31 @@ def measured(docs: DataFrame) -> DataFrame:
             "_windows": F.when(n >= WINDOW, window).otherwise(F.array().cast("array<bigint>")),
         }
     )
-    repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
-    paired = F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-    ranked = counted.withColumn(
-        "_ranked", F.when(repeats, F.sort_array(paired)).otherwise(F.slice(paired, 1, 0))
+    # Windows found twice are few in most texts: those are looked up. Where they are many, windows
+    # are sorted together with their positions instead, so that no text takes quadratic time.
+    ranked = counted.withColumn("_sorted", F.sort_array("_windows"))
+    twice = F.filter("_sorted", lambda h, k: (k > 0) & (F.get("_sorted", k - 1) == h))
+    listed = ranked.withColumn("_twice", F.array_distinct(twice))
+    paired = F.sort_array(
+        F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     )
-    found = F.filter(
-        "_ranked",
-        lambda x, k: F.coalesce(
-            (F.get("_ranked", k - 1)["h"] == x["h"]) | (F.get("_ranked", k + 1)["h"] == x["h"]),
-            F.get("_ranked", k - 1)["h"] == x["h"],
-            F.get("_ranked", k + 1)["h"] == x["h"],
-        ),
+    many = F.size("_twice") > FEW
+    grouped = listed.withColumn("_pairs", F.when(many, paired))
+    looked_up = F.filter(
+        F.transform("_windows", lambda h, i: F.when(F.array_contains("_twice", h), i)),
+        lambda i: i.isNotNull(),
+    )
+    neighbours = F.filter(
+        "_pairs",
+        lambda x, k: ((k > 0) & (F.get("_pairs", k - 1)["h"] == x["h"]))
+        | F.coalesce(F.get("_pairs", k + 1)["h"] == x["h"], F.lit(False)),
+    )
+    starts = grouped.withColumn(
+        "_starts",
+        F.when(F.size("_twice") == 0, F.array().cast("array<int>"))
+        .when(~many, looked_up)
+        .otherwise(F.sort_array(F.transform(neighbours, lambda x: x["i"]))),
     )
-    starts = ranked.withColumn("_starts", F.sort_array(F.transform(found, lambda x: x["i"])))
     covered = F.aggregate(
         F.transform(
             "_starts",
@@ -99,7 +112,7 @@ def measured(docs: DataFrame) -> DataFrame:
         lambda total, x: total + x,
     )
     done = starts.withColumn("n_repeat_words", covered.cast("long"))
-    return done.drop("_words", "_lines", "_windows", "_ranked", "_starts")
+    return done.drop("_words", "_lines", "_windows", "_sorted", "_twice", "_pairs", "_starts")
 
 
 def failures(rules: Mapping[str, str] = RULES) -> Column:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strikeloom.llm import packing, quality_rules, simhash, warc
+from strikeloom.llm import kneser_ney, packing, pii, quality_rules, simhash, warc
 from strikeloom.sinks.shared import stored
 
 
@@ -33,6 +33,26 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        *[f"n_{kind}" for kind in pii.BASE_KINDS],
+        F.sha2("base_spans", 256).alias("base_sha256"),
+        "spans",
+    )
+
+
+def trusted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents labelled good and not toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return labels.where("quality = 1 AND toxic = 0").select("doc_id")
+
+
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classified(documents(spark, sf_dir), trusted_documents(spark, sf_dir))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir))
 
@@ -42,5 +62,13 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    query.__name__: query for query in (op1_simhash, op2_quality_rules, op8_packing, op9_warc)
+    query.__name__: query
+    for query in (
+        op1_simhash,
+        op2_quality_rules,
+        op6_pii,
+        op7_kneser_ney,
+        op8_packing,
+        op9_warc,
+    )
 }

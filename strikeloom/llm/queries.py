@@ -3,7 +3,17 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strikeloom.llm import kneser_ney, packing, pii, quality_rules, simhash, warc
+from strikeloom.llm import (
+    decontamination,
+    kneser_ney,
+    line_dedup,
+    packing,
+    pii,
+    quality_rules,
+    simhash,
+    warc,
+)
+from strikeloom.llm.sql import SQL
 from strikeloom.sinks.shared import stored
 
 
@@ -33,6 +43,18 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.without_repeated_lines(documents(spark, sf_dir))
+    return rows.select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contaminated(documents(spark, sf_dir), items)
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(documents(spark, sf_dir))
     return found.select(
@@ -61,11 +83,15 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"), min_bytes=0)
 
 
+__all__ = ["QUERIES", "SQL"]
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_simhash,
         op2_quality_rules,
+        op3_line_dedup,
+        op5_decontamination,
         op6_pii,
         op7_kneser_ney,
         op8_packing,

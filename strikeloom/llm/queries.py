@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strikeloom.llm import (
+    compact_windows,
     decontamination,
     kneser_ney,
     line_dedup,
@@ -11,6 +12,7 @@ from strikeloom.llm import (
     pii,
     quality_rules,
     simhash,
+    suffix_dedup,
     warc,
 )
 from strikeloom.llm.sql import SQL
@@ -50,6 +52,17 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.without_repeats(documents(spark, sf_dir), length=200)
+    return rows.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.contaminated(documents(spark, sf_dir), items)
@@ -83,6 +96,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"), min_bytes=0)
 
 
+def op10_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.near_passages(documents(spark, sf_dir))
+
+
 __all__ = ["QUERIES", "SQL"]
 
 QUERIES = {
@@ -91,10 +108,12 @@ QUERIES = {
         op1_simhash,
         op2_quality_rules,
         op3_line_dedup,
+        op4_suffix_dedup,
         op5_decontamination,
         op6_pii,
         op7_kneser_ney,
         op8_packing,
         op9_warc,
+        op10_compact_windows,
     )
 }

@@ -125,7 +125,7 @@ def _contexts(joined: DataFrame, length: int) -> DataFrame:
                 }
             )
 
-    return joined.select("id1", "id2", "data", "places").mapInArrow(
+    return joined.mapInArrow(
         marked, "id1 bigint, id2 bigint, place bigint, mark1 bigint, mark2 bigint"
     )
 
@@ -168,7 +168,7 @@ def _runs(joined: DataFrame, length: int, parts: int) -> DataFrame:
                     held = {}
         yield from sorted_runs(held)
 
-    return joined.select("id1", "id2", "data", "places").mapInArrow(
+    return joined.mapInArrow(
         coded, "part bigint, run binary, rest binary"
     )
 
@@ -277,7 +277,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spark = docs.sparkSession
     keyed = _keyed(docs)
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    joined = keyed.join(_shared_anchors(keyed, length), ["id1", "id2"])
+    # All three uses of the texts ask for the same columns, so that they share one shuffle.
+    columns = ("id1", "id2", "doc_id", "data")
+    joined = keyed.join(_shared_anchors(keyed, length), ["id1", "id2"]).select(*columns, "places")
     masks = _merged_masks(_runs(joined, length, parts), length)
     hits = _contexts(joined, length).join(masks, ["mark1", "mark2"])
     by_doc = hits.groupBy("id1", "id2").agg(
@@ -309,7 +311,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = keyed.join(by_doc, ["id1", "id2"], "left").select("doc_id", "data", "hits")
+    rows = keyed.join(by_doc, ["id1", "id2"], "left").select(*columns, "hits")
     return rows.mapInArrow(
         cut, f"doc_id {kind}, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
     )

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strikeloom.llm.suffix_runs import decoded, front_coded, merged
+from strikeloom.sinks.shared import stored
 
 LENGTH = 200
 WINDOW, GRAM = 128, 16
@@ -88,7 +89,8 @@ def _shared_anchors(keyed: DataFrame, length: int) -> DataFrame:
         listed, "key bigint, id1 bigint, id2 bigint, place bigint"
     )
     twice = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    return rows.join(twice, "key", "left_semi").groupBy("id1", "id2").agg(
+    # Stored, the keys are dealt anew for the join, which can then split a key that many share.
+    return rows.join(stored(twice), "key", "left_semi").groupBy("id1", "id2").agg(
         F.collect_set("place").alias("places")
     )
 

@@ -35,8 +35,10 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     rows = pages.select("page_id", "url", payload.alias("payload"))
     rows = rows.withColumn("digest", base32(F.sha1("payload")))
     answers = rows.where(F.octet_length("payload") >= min_bytes).groupBy("digest").agg(
-        F.max("page_id").alias("answer")
+        F.max("page_id").alias("answer"), F.count(F.lit(1)).alias("n")
     )
+    # Only payloads met twice matter; stored, they are dealt anew and a hot one can be split.
+    answers = stored(answers.where("n > 1").drop("n"))
     other = ~F.col("page_id").eqNullSafe(F.col("answer")) & F.col("answer").isNotNull()
     big = F.octet_length("payload") >= min_bytes
     return rows.join(answers, "digest", "left").select(

@@ -2,7 +2,9 @@
 
 DataFrame expressions only. Two lines are one edit apart if they become equal by deleting one
 character from each at the same place (a replacement) or one from the longer (an insertion). So
-every line is hashed once with each of its characters left out, and equal hashes are joined.
+lines are hashed with each of their characters left out, and equal hashes are joined. Variants that
+cannot meet are not made: hashes of what lies outside an edit first show which lines can be one
+edit apart, and where.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +15,8 @@ from strikeloom.sinks.shared import stored
 MAX_EDITS = 1
 # Lines shorter than this stay: one edit makes another word of them, and they repeat by chance.
 MIN_CHARS = 20
+# An edit is narrowed down to a stretch of at most twice this length before variants are made.
+STEP = 16
 
 
 def _split(text: Column) -> Column:
@@ -75,16 +79,40 @@ def _candidates(docs: DataFrame, firsts: DataFrame, min_chars: int) -> DataFrame
     return rows.where(F.xxhash64("line") == F.col("h1")).dropDuplicates(["doc_id", "line_no", "h1"])
 
 
+def _narrowed(candidates: DataFrame) -> DataFrame:
+    """Candidates with the places (start to stop) an edit between them and another line can be at.
+
+    Lines one edit apart agree before the stretch of STEP characters with their first difference,
+    and after it up to a multiple of STEP from their end. The multiple follows from the shorter
+    line's length, so each line gives its hash for its own length and for one character less.
+    """
+    n = F.length("line")
+    starts = F.sequence(F.lit(0), F.floor(n / STEP).cast("int") * STEP, F.lit(STEP))
+    each = candidates.select("*", F.explode(starts).alias("start"))
+
+    def rest(size: Column) -> Column:
+        steps = F.floor((size - F.col("start") - STEP) / STEP).cast("int")
+        return F.greatest(F.lit(0), steps * STEP)
+
+    both = each.select("*", F.explode(F.array_distinct(F.array(rest(n), rest(n - 1)))).alias("rest"))
+    outside = F.xxhash64("start", "rest", F.left("line", "start"), F.right("line", "rest"))
+    keyed = stored(both.withColumn("key", outside))
+    shared = keyed.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b"))
+    meeting = keyed.join(shared.where("a <> b").select("key"), "key", "left_semi")
+    return meeting.withColumn("stop", n - F.col("rest") - 1).where("start <= stop")
+
+
 def _near_lines(candidates: DataFrame) -> DataFrame:
     """Rows (doc_id, line_no): first occurrences of lines one edit from an earlier line.
 
     Each group of equal variants gives its members only its earliest line, not each other.
     """
     place = F.struct("doc_id", "line_no", "h1").alias("place")
-    n = F.length("line")
-    rows = candidates.select("line", place, F.explode(F.sequence(F.lit(0), n - 1)).alias("at"))
+    rows = _narrowed(candidates).select(
+        "line", place, F.explode(F.sequence("start", "stop")).alias("at")
+    )
     shorter = F.concat(F.left("line", F.col("at")), F.substr("line", F.col("at") + 2))
-    variants = stored(rows.select(F.xxhash64(shorter).alias("v"), "at", "place"))
+    variants = stored(rows.select(F.xxhash64(shorter).alias("v"), "at", "place").distinct())
 
     replaced = variants.groupBy("v", "at").agg(
         F.min("place").alias("earliest"), F.count(F.lit(1)).alias("n")

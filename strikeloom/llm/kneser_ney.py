@@ -111,14 +111,16 @@ def log_probabilities(grams: DataFrame) -> DataFrame:
     counts = {ORDER: grams.where("n > 0")}
     for order in range(ORDER - 1, 0, -1):
         longer = counts[order + 1]
-        counts[order] = longer.groupBy("lang", _suffix("key", order + 1).alias("key")).agg(
-            F.count(F.lit(1)).alias("n")
+        counts[order] = stored(
+            longer.groupBy("lang", _suffix("key", order + 1).alias("key")).agg(
+                F.count(F.lit(1)).alias("n")
+            )
         )
     asked = {ORDER: grams.select("lang", "key")}
     for order in range(ORDER - 1, 0, -1):
-        asked[order] = asked[order + 1].select(
-            "lang", _suffix("key", order + 1).alias("key")
-        ).distinct()
+        asked[order] = stored(
+            asked[order + 1].select("lang", _suffix("key", order + 1).alias("key")).distinct()
+        )
 
     letters = counts[1].groupBy("lang").agg((F.count(F.lit(1)) + 1).alias("letters"))
     lower = asked[1].join(F.broadcast(letters), "lang").select(
@@ -126,7 +128,7 @@ def log_probabilities(grams: DataFrame) -> DataFrame:
     )
     lower = _interpolated(asked[1], counts[1], lower, 1)
     for order in range(2, ORDER + 1):
-        lower = _interpolated(asked[order], counts[order], lower, order)
+        lower = _interpolated(asked[order], counts[order], stored(lower), order)
     return lower.select("lang", "key", (-F.log2("p")).alias("bits"))
 
 
@@ -184,19 +186,24 @@ def with_bits(docs: DataFrame, table: DataFrame) -> DataFrame:
         part = table
         if shards > 1:
             part = table.where(F.pmod(F.xxhash64("lang", "key"), F.lit(shards)) == shard)
-        held = part.toPandas()
-        model = spark.sparkContext.broadcast(
-            {
-                lang: (rows_["key"].to_numpy(np.int64).view(np.uint64), rows_["bits"].to_numpy())
-                for lang, rows_ in held.groupby("lang")
-            }
-        )
+        model = spark.sparkContext.broadcast(_by_language(part.select("lang", "key", "bits").toArrow()))
         rows = rows.mapInArrow(_adding(model), f"doc_id {kind}, lang string, text string, total double")
         if shard < shards - 1:
             rows = stored(rows)
     return rows
 
 
+def _by_language(held: pa.Table) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """N-grams and bits of one shard by language, without a Python object per row."""
+    langs = held["lang"].combine_chunks().dictionary_encode()
+    which = langs.indices.to_numpy()
+    keys = held["key"].to_numpy().view(np.uint64)
+    bits = held["bits"].to_numpy().astype(np.float32)
+    return {
+        lang: (keys[which == k], bits[which == k]) for k, lang in enumerate(langs.dictionary.to_pylist())
+    }
+
+
 def _adding(model):
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookups = {lang: Lookup(*table) for lang, table in model.value.items()}

@@ -79,10 +79,15 @@ def anchored(fps: DataFrame, max_bits: int) -> DataFrame:
     return fps.mapInArrow(placed, "anchor bigint, fp bigint")
 
 
+def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits; counted unsigned, since the count of a negative number is of its magnitude."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def _by_shifts(anchors: np.ndarray, fps: np.ndarray, max_bits: int):
     for shift in range(1, SMALL):
         a, b = fps[:-shift], fps[shift:]
-        near = (anchors[:-shift] == anchors[shift:]) & (np.bitwise_count(a ^ b) <= max_bits)
+        near = (anchors[:-shift] == anchors[shift:]) & (_distance(a, b) <= max_bits)
         yield a[near], b[near]
 
 
@@ -91,7 +96,7 @@ def _group_links(fps: np.ndarray, max_bits: int):
     n = len(fps)
     root = np.arange(n)
     if n <= MEDIUM:
-        near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= max_bits
+        near = _distance(fps[:, None], fps[None, :]) <= max_bits
         while True:
             least = np.where(near, root[None, :], n).min(axis=1)
             least = least[least]

@@ -19,6 +19,8 @@ BITS = 16
 START = "\x02"
 # Scored n-grams that one task holds at a time: 24 MB.
 SHARD_ROWS = 2_000_000
+# Characters whose n-grams a task holds in memory at a time.
+CHARS_AT_ONCE = 1_000_000
 # Trusted documents of a language outside these quantiles set the limits for all.
 LOW, HIGH = 0.001, 0.995
 
@@ -38,6 +40,20 @@ def packed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys, real, starts
 
 
+def _portions(texts: list[str]) -> Iterator[list[int]]:
+    """Numbers of texts that are handled together: a bounded number of characters, or one text."""
+    rows: list[int] = []
+    size = 0
+    for k, text in enumerate(texts):
+        if rows and size + len(text) > CHARS_AT_ONCE:
+            yield rows
+            rows, size = [], 0
+        rows.append(k)
+        size += len(text)
+    if rows:
+        yield rows
+
+
 def ngram_counts(docs: DataFrame) -> DataFrame:
     """Rows (lang, key, n): every 4-gram of the corpus and how often trusted documents have it.
 
@@ -49,7 +65,12 @@ def ngram_counts(docs: DataFrame) -> DataFrame:
             groups: dict[tuple[str, bool], list[str]] = {}
             for lang, text, trusted in zip(*(batch[n].to_pylist() for n in ("lang", "text", "trusted"))):
                 groups.setdefault((lang or "", trusted), []).append(text or "")
-            for (lang, trusted), texts in groups.items():
+            portions = [
+                (lang, trusted, [texts[i] for i in rows])
+                for (lang, trusted), texts in groups.items()
+                for rows in _portions(texts)
+            ]
+            for lang, trusted, texts in portions:
                 keys, real, _ = packed(texts)
                 found = pa.array(keys[real].view(np.int64)).value_counts()
                 distinct, n = found.field("values"), found.field("counts")
@@ -212,10 +233,12 @@ def _adding(model):
             texts = [text or "" for text in batch["text"].to_pylist()]
             total = batch["total"].to_numpy(zero_copy_only=False).copy()
             for lang in set(langs) & set(lookups):
-                rows = np.array([i for i, name in enumerate(langs) if name == lang])
-                keys, real, starts = packed([texts[i] for i in rows])
-                bits = np.where(real, lookups[lang](keys), np.float32(0)).astype(np.float64)
-                total[rows] += np.add.reduceat(bits, starts)
+                own = np.array([i for i, name in enumerate(langs) if name == lang])
+                for portion in _portions([texts[i] for i in own]):
+                    rows = own[portion]
+                    keys, real, starts = packed([texts[i] for i in rows])
+                    bits = np.where(real, lookups[lang](keys), np.float32(0)).astype(np.float64)
+                    total[rows] += np.add.reduceat(bits, starts)
             yield pa.record_batch(
                 {"doc_id": batch["doc_id"], "lang": batch["lang"], "text": batch["text"], "total": pa.array(total)}
             )

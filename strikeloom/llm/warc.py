@@ -1,13 +1,14 @@
 """WARC archives: writing pages as records, reading them back, reassembling segments."""
 
+import base64
 import gzip
+import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strikeloom.llm.base32 import base32
 from strikeloom.sinks.shared import shared_folder, stored
 
 CRLF = b"\r\n"
@@ -33,7 +34,7 @@ def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """
     payload = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
     rows = pages.select("page_id", "url", payload.alias("payload"))
-    rows = rows.withColumn("digest", base32(F.sha1("payload")))
+    rows = rows.withColumn("digest", F.sha1("payload"))
     answers = rows.where(F.octet_length("payload") >= min_bytes).groupBy("digest").agg(
         F.max("page_id").alias("answer"), F.count(F.lit(1)).alias("n")
     )
@@ -73,6 +74,10 @@ def _record(fields: list[tuple[str, str]], block: bytes) -> bytes:
     return CRLF.join(lines) + CRLF + CRLF + block
 
 
+def payload_digest(payload: bytes) -> str:
+    return base64.b32encode(hashlib.sha1(payload).digest()).decode()
+
+
 def _one_line(value: str) -> str:
     return " ".join(value.split())
 
@@ -83,7 +88,7 @@ def records_of(
     """The records of one page: a revisit, or a response with its continuations."""
     record = f"<urn:x-page:{page}:{number}>"
     head = [("WARC-Date", DATE), ("WARC-Target-URI", _one_line(url or "urn:x-page:none"))]
-    head += [("WARC-Payload-Digest", f"sha1:{digest}")]
+    head += [("WARC-Payload-Digest", f"sha1:{base64.b32encode(bytes.fromhex(digest)).decode()}")]
     head += [("X-Page-ID", page)] if page is not None else []
     if refers is not None:
         fields = [("WARC-Type", "revisit"), ("WARC-Record-ID", record), *head]
@@ -237,18 +242,22 @@ def reassembled(records: DataFrame) -> DataFrame:
 def payloads(records: DataFrame) -> DataFrame:
     """Rows (record_id, page_id, record_type, digest, refers_page, payload) of whole HTTP records.
 
-    The transfer coding is decoded; a revisit has no payload of its own (NULL).
+    The transfer coding is decoded and the payload held against the digest its record declares. A
+    revisit has no payload of its own (NULL).
     """
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for kind, block in zip(batch["record_type"].to_pylist(), batch["block"].to_pylist()):
+            columns = ("record_type", "block", "digest")
+            for kind, block, digest in zip(*(batch[name].to_pylist() for name in columns)):
                 head, _, body = block.partition(CRLF + CRLF)
                 if kind == "revisit":
                     body = None
                 elif b"transfer-encoding: chunked" in head.lower():
                     body = decode_chunked(body)
+                if body is not None and digest is not None and payload_digest(body) != digest:
+                    raise ValueError("a payload does not have the digest its record declares")
                 out.append(body)
             kept = {n: batch[n] for n in batch.schema.names if n != "block"}
             yield pa.record_batch(kept | {"payload": pa.array(out, pa.binary())})
@@ -276,7 +285,7 @@ def archive_round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
         found.select(
             F.col("page_id").cast(kind).alias("page_id"),
             F.octet_length("payload").cast("long").alias("payload_bytes"),
-            F.coalesce(base32(F.sha1("payload")), "digest").alias("payload_digest"),
+            F.col("digest").alias("payload_digest"),
             "record_type",
             F.col("refers_page").cast(kind).alias("refers_to"),
         )

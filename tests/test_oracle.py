@@ -9,7 +9,8 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from strikeloom.checks.oracle import SQL
+from strikeloom.checks.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -34,13 +35,13 @@ def comparable(rows, columns):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    frame = queries()[name](spark, SF_DIR)
-    answer = duck.execute(oracle_sql()[name])
+    frame = QUERIES[name](spark, SF_DIR)
+    answer = duck.execute(SQL[name])
     expected_columns = [column[0] for column in answer.description]
     expected = answer.fetchall()
     rows = frame.collect()

@@ -285,7 +285,8 @@ def classified(
     ids = ids.withColumn("_known", F.lit(True))
     lang = F.coalesce("lang", F.lit("")).alias("lang")
     rows = docs.select("doc_id", lang, "text")
-    marked = rows.join(ids, F.col("doc_id") == F.col("_id"), "left").select(
+    # A merge join at every size: the ids grow with the documents, so they are not broadcast.
+    marked = rows.join(ids.hint("merge"), F.col("doc_id") == F.col("_id"), "left").select(
         "lang", "text", F.coalesce("_known", F.lit(False)).alias("trusted")
     )
     grams = stored(ngram_counts(marked))

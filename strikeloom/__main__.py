@@ -22,6 +22,12 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     parser.add_argument("--path", help="landed quote files (dataload, stream)")
     parser.add_argument("--format", default="csv", choices=["csv", "parquet"])
     parser.add_argument("--bootstrap", action="store_true", help="replace all loaded data")
+    parser.add_argument("--allow-empty", action="store_true", help="bootstrap without any files")
+    parser.add_argument(
+        "--new-versions",
+        action="store_true",
+        help="files replace those of the same name from other folders",
+    )
     parser.add_argument("--regroup", action="store_true", help="for many small files")
     parser.add_argument("--policies", nargs="*", default=[], choices=sorted(POLICIES))
     parser.add_argument("--strategies", nargs="*", help=f"any of {', '.join(STRATEGIES)}")
@@ -47,6 +53,8 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
             options.format,
             options.policies,
             regroup=options.regroup,
+            new_versions=options.new_versions,
+            allow_empty=options.allow_empty,
         )
     elif options.mode == "stream":
         run_intake(
@@ -57,6 +65,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
             options.files_per_batch,
             options.archive,
             tuple(options.policies),
+            regroup=options.regroup,
         )
     elif options.mode == "compact":
         compact(spark, silver_table(options.database), "trade_date", SILVER_ORDER)

@@ -15,13 +15,15 @@ from strikeloom.operators.policies import named
 from strikeloom.operators.reports import head, layer_counts
 from strikeloom.plans.registry import ACTIVE, STRATEGIES, Strategy
 from strikeloom.schema import UNDERLYINGS
-from strikeloom.sinks.catalog import create_database, replacing_partitions
+from strikeloom.sinks.catalog import create_database
 from strikeloom.sinks.layers import (
     bronze_table,
     gold_table,
+    keep_rules,
     rebuild_silver,
     replace_bronze,
     replace_gold,
+    rules_of,
     silver_table,
 )
 from strikeloom.sources.files import READERS
@@ -39,22 +41,33 @@ def load(
     policies: Iterable[str] = (),
     underlyings: Mapping[str, str] = UNDERLYINGS,
     regroup: bool = False,
+    new_versions: bool = False,
+    allow_empty: bool = False,
 ) -> None:
     """Quote files to bronze and silver.
 
-    ``bootstrap`` makes the files the whole content of both tables. Otherwise they are added, or
-    replace earlier versions of themselves, and only their trade dates are enriched again; naming
-    files that were loaded before reprocesses them. Set ``regroup`` for many small files.
+    ``bootstrap`` makes the files the whole content of both tables; with no files at all that would
+    wipe them, so it is refused unless ``allow_empty`` is set. Otherwise files are added, or
+    replace what was loaded from the same path, and only their trade dates are enriched again;
+    naming files that were loaded before reprocesses them. A file of the same name from another
+    folder is a file of its own, unless ``new_versions`` says that it replaces the others.
+    Policies and mapping are kept with silver; loads with other ones are refused until a bootstrap.
+    Set ``regroup`` for many small files.
     """
+    policies = tuple(policies)
     create_database(spark, database)
     enrichment = partial(enrich, underlyings=underlyings, policies=named(policies))
+    rules = rules_of(policies, underlyings)
     quotes = READERS[raw_format](spark, path)
     if bootstrap:
+        if not allow_empty and not quotes.inputFiles():
+            raise ValueError(f"no files in {path}: a bootstrap would empty database {database}")
         bronze, silver = bronze_table(database), silver_table(database)
         replace_bronze(quotes, bronze)
         rebuild_silver(spark, bronze, silver, enrichment, regroup)
+        keep_rules(spark, silver, rules)
     else:
-        absorb(quotes, database, enrichment, regroup)
+        absorb(quotes, database, enrichment, rules, regroup, new_versions)
 
 
 def run_strategy(
@@ -96,8 +109,7 @@ def run_strategies(
             logger.exception("strategy %s failed", name)
             return False
 
-    # The write mode is set once around all threads: it is a setting of the shared session.
-    with replacing_partitions(spark), ThreadPoolExecutor(max(1, len(names))) as threads:
+    with ThreadPoolExecutor(max(1, len(names))) as threads:
         runs = [threads.submit(inheritable_thread_target(spark)(attempt), name) for name in names]
         return {name: run.result() for name, run in zip(names, runs)}
 

@@ -1,6 +1,6 @@
 """Catalog helpers shared by the table writers."""
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from urllib.parse import unquote
 
@@ -8,6 +8,10 @@ from pyspark.sql import SparkSession
 
 # Fixed value: how the catalog names the partition of NULL keys.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# Fixed value: the option under which an overwrite replaces only the partitions it writes to.
+OVERWRITE_OPTION = ("partitionOverwriteMode", "dynamic")
+# Partitions named in one statement.
+SPECS_PER_STATEMENT = 500
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -15,14 +19,22 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
-def partition_values(spark: SparkSession, table: str) -> list[str]:
-    """Values of the only partition column; the NULL partition is left out.
+def partition_keys(spark: SparkSession, table: str) -> list[tuple[str | None, ...]]:
+    """Values of the partition columns of every partition, None for NULL.
 
     Read from the catalog: one short string per partition, no data files.
     """
-    listed = spark.sql(f"SHOW PARTITIONS {table}").collect()
-    values = [unquote(row.partition.split("=", 1)[1]) for row in listed]
-    return [value for value in values if value != NULL_PARTITION]
+
+    def values(partition: str) -> tuple[str | None, ...]:
+        texts = [unquote(part.split("=", 1)[1]) for part in partition.split("/")]
+        return tuple(None if text == NULL_PARTITION else text for text in texts)
+
+    return [values(row.partition) for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+
+
+def partition_values(spark: SparkSession, table: str) -> list[str]:
+    """Values of the only partition column; the NULL partition is left out."""
+    return [value for (value,) in partition_keys(spark, table) if value is not None]
 
 
 def _literal(value: str | None) -> str:
@@ -31,9 +43,41 @@ def _literal(value: str | None) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def drop_partitions(spark: SparkSession, table: str, column: str, values: list[str | None]) -> None:
-    for value in values:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = {_literal(value)})")
+def drop_partitions(
+    spark: SparkSession,
+    table: str,
+    columns: tuple[str, ...],
+    keys: Iterable[tuple[str | None, ...]],
+) -> None:
+    """Drop the partitions of ``keys`` that exist, many in one statement."""
+    specs = [
+        f"PARTITION ({', '.join(f'{name} = {_literal(v)}' for name, v in zip(columns, key))})"
+        for key in keys
+    ]
+    for start in range(0, len(specs), SPECS_PER_STATEMENT):
+        dropped = ", ".join(specs[start : start + SPECS_PER_STATEMENT])
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {dropped}")
+
+
+def replace_written_partitions_only(spark: SparkSession, table: str) -> None:
+    """Make overwrites of ``table`` replace only the partitions they write to.
+
+    Kept with the table, not in the session, which other threads share.
+    """
+    name, value = OVERWRITE_OPTION
+    described = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Storage Properties'")
+    properties = described.first()
+    if properties is None or f"{name}={value}" not in properties["data_type"]:
+        spark.sql(f"ALTER TABLE {table} SET SERDEPROPERTIES ('{name}' = '{value}')")
+
+
+def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def set_table_properties(spark: SparkSession, table: str, properties: Mapping[str, str]) -> None:
+    pairs = ", ".join(f"{_literal(key)} = {_literal(value)}" for key, value in properties.items())
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
 
 
 @contextmanager
@@ -47,8 +91,3 @@ def session_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[N
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
-def replacing_partitions(spark: SparkSession):
-    """Overwrites replace only the partitions they write to."""
-    return session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"})

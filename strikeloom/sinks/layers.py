@@ -1,17 +1,27 @@
 """The bronze, silver and gold tables of one database."""
 
-from collections.abc import Callable, Iterable
+import json
+from collections.abc import Callable, Iterable, Mapping
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strikeloom.functions import osi
+from strikeloom.functions import origin, osi
 from strikeloom.schema import BRONZE, SILVER, SILVER_HEAD, SILVER_TAIL
-from strikeloom.sinks.catalog import drop_partitions
+from strikeloom.sinks.catalog import (
+    drop_partitions,
+    partition_keys,
+    set_table_properties,
+    table_properties,
+)
 from strikeloom.sinks.partitioned import replace_partitions, replace_table
 
 Enrichment = Callable[[DataFrame], DataFrame]
 
+# Bronze has a partition per landed file: its name, and what stands for its folder.
+BRONZE_KEY = ("file_name", "source_id")
+BY_DATE = ("trade_date",)
 # Rows of one contract lie together in the data files.
 BRONZE_ORDER = ("symbol", "ts_recv")
 SILVER_ORDER = ("underlying", "expiry_date", "option_type", "strike_price", "ts_recv")
@@ -36,21 +46,39 @@ def read_silver(spark: SparkSession, table: str) -> DataFrame:
     return stored.select(*SILVER_HEAD, *middle, *SILVER_TAIL)
 
 
+def _with_source(quotes: DataFrame) -> DataFrame:
+    return quotes.withColumn("source_id", origin.source_id(F.input_file_name()))
+
+
+def _bronze_quotes(spark: SparkSession, bronze: str) -> DataFrame:
+    return spark.table(bronze).drop("source_id")
+
+
 def replace_bronze(quotes: DataFrame, table: str) -> None:
     """All landed files at once. Each input split belongs to one file, so nothing is shuffled."""
-    replace_table(quotes, table, "file_name", BRONZE_ORDER)
+    replace_table(_with_source(quotes), table, BRONZE_KEY, BRONZE_ORDER)
 
 
-def replace_bronze_files(quotes: DataFrame, table: str) -> set[str]:
-    """Add files or replace those loaded before under the same name; returns the file names.
+def replace_bronze_files(quotes: DataFrame, table: str, new_versions: bool = False) -> set[str]:
+    """Add files or replace those loaded before from the same place; returns the file names.
 
-    A file that has no rows any more also loses the rows of its earlier version.
+    A file is known by its name and folder: one of the same name from another folder is kept beside
+    it, unless ``new_versions`` says that it replaces every other one of that name. A file that has
+    no rows any more also loses the rows of its earlier version.
     """
-    files = {uri.rsplit("/", 1)[1] for uri in quotes.inputFiles()}
-    written = replace_partitions(quotes, table, "file_name", BRONZE_ORDER)
-    emptied = files - written
-    drop_partitions(quotes.sparkSession, table, "file_name", sorted(emptied))
-    return files | written
+    spark = quotes.sparkSession
+    uris = quotes.inputFiles()
+    landed = {(uri.rsplit("/", 1)[1], origin.source_id_of(uri)) for uri in uris}
+    written = replace_partitions(_with_source(quotes), table, BRONZE_KEY, BRONZE_ORDER)
+    if not written <= landed:
+        landed = written  # names come with the rows, so those of the data files mean nothing
+    emptied = landed - written
+    if emptied or new_versions:
+        names = {name for name, _ in landed}
+        held = set(partition_keys(spark, table)) - written
+        stale = [key for key in held if key in emptied or (new_versions and key[0] in names)]
+        drop_partitions(spark, table, BRONZE_KEY, stale)
+    return {name for name, _ in landed}
 
 
 def trade_dates_of(spark: SparkSession, files: Iterable[str]) -> set[str | None]:
@@ -72,8 +100,8 @@ def rebuild_silver(
     spark: SparkSession, bronze: str, silver: str, enrichment: Enrichment, regroup: bool = False
 ) -> None:
     """Silver from all of bronze."""
-    rows = _by_date(enrichment(spark.table(bronze)), regroup)
-    replace_table(rows, silver, "trade_date", SILVER_ORDER)
+    rows = _by_date(enrichment(_bronze_quotes(spark, bronze)), regroup)
+    replace_table(rows, silver, BY_DATE, SILVER_ORDER)
 
 
 def refresh_silver(
@@ -91,10 +119,36 @@ def refresh_silver(
     """
     named_date = osi.trade_date(F.col("file_name")).cast("string")
     touched = F.coalesce(named_date, F.lit("")).isin([day or "" for day in dates])
-    rows = enrichment(spark.table(bronze).where(touched))
-    written = replace_partitions(_by_date(rows, regroup), silver, "trade_date", SILVER_ORDER)
-    drop_partitions(spark, silver, "trade_date", list(dates - written))
+    rows = enrichment(_bronze_quotes(spark, bronze).where(touched))
+    written = replace_partitions(_by_date(rows, regroup), silver, BY_DATE, SILVER_ORDER)
+    drop_partitions(spark, silver, BY_DATE, {(day,) for day in dates} - written)
+
+
+def rules_of(policies: Iterable[str], underlyings: Mapping[str, str]) -> dict[str, str]:
+    """How silver rows are made, as table properties."""
+    mapping = json.dumps(sorted(underlyings.items()))
+    return {
+        "strikeloom.policies": ",".join(sorted(set(policies))),
+        "strikeloom.underlyings": sha256(mapping.encode()).hexdigest(),
+    }
+
+
+def require_same_rules(spark: SparkSession, silver: str, rules: Mapping[str, str]) -> None:
+    """Refuse to add rows made by other rules than the stored ones; a bootstrap may change them."""
+    if not spark.catalog.tableExists(silver):
+        return
+    stored = table_properties(spark, silver)
+    differing = [key for key, value in rules.items() if stored.get(key, value) != value]
+    if differing:
+        raise ValueError(
+            f"{silver} was made with other {' and '.join(differing)}; bootstrap it to change them"
+        )
+
+
+def keep_rules(spark: SparkSession, silver: str, rules: Mapping[str, str]) -> None:
+    if rules.items() - table_properties(spark, silver).items():
+        set_table_properties(spark, silver, rules)
 
 
 def replace_gold(signals: DataFrame, table: str) -> None:
-    replace_table(signals, table, "trade_date")
+    replace_table(signals, table, BY_DATE)

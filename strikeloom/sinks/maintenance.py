@@ -3,7 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strikeloom.sinks.catalog import NULL_PARTITION, replacing_partitions, session_conf
+from strikeloom.sinks.catalog import (
+    NULL_PARTITION,
+    replace_written_partitions_only,
+    session_conf,
+)
 
 # Fixed value: size data files should have.
 TARGET_FILE_BYTES = 512 * 1024 * 1024
@@ -49,7 +53,8 @@ def compact(
     key = F.coalesce(F.col(column).cast("string"), F.lit(NULL_PARTITION))
     rows = spark.table(table).where(key.isin([value or NULL_PARTITION for value in values]))
     size = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes)}
-    with replacing_partitions(spark), session_conf(spark, size):
+    replace_written_partitions_only(spark, table)
+    with session_conf(spark, size):
         regrouped = rows.hint("rebalance", column).sortWithinPartitions(column, *order)
         regrouped.write.mode("overwrite").insertInto(table)
     return values

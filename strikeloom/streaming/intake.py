@@ -12,8 +12,11 @@ from strikeloom.sinks.catalog import create_database
 from strikeloom.sinks.layers import (
     Enrichment,
     bronze_table,
+    keep_rules,
     refresh_silver,
     replace_bronze_files,
+    require_same_rules,
+    rules_of,
     silver_table,
     trade_dates_of,
 )
@@ -24,14 +27,21 @@ FILES_PER_BATCH = 15
 
 
 def absorb(
-    quotes: DataFrame, database: str, enrichment: Enrichment, regroup: bool = False
+    quotes: DataFrame,
+    database: str,
+    enrichment: Enrichment,
+    rules: Mapping[str, str],
+    regroup: bool = False,
+    new_versions: bool = False,
 ) -> None:
     """Take quote files into bronze and refresh the silver dates they touch; safe to repeat."""
     spark = quotes.sparkSession
     bronze, silver = bronze_table(database), silver_table(database)
-    files = replace_bronze_files(quotes, bronze)
+    require_same_rules(spark, silver, rules)
+    files = replace_bronze_files(quotes, bronze, new_versions)
     dates = trade_dates_of(spark, files)
     refresh_silver(spark, bronze, silver, enrichment, dates, regroup)
+    keep_rules(spark, silver, rules)
 
 
 def run_intake(
@@ -43,6 +53,7 @@ def run_intake(
     archive: str | None = None,
     policies: tuple[str, ...] = (),
     underlyings: Mapping[str, str] = UNDERLYINGS,
+    regroup: bool = False,
 ) -> None:
     """Process every file that landed since the last call, then stop.
 
@@ -51,9 +62,12 @@ def run_intake(
     """
     create_database(spark, database)
     enrichment = partial(enrich, underlyings=underlyings, policies=named(policies))
+    rules = rules_of(policies, underlyings)
     query = (
         stream_quote_csv(spark, landing, files_per_batch, archive)
-        .writeStream.foreachBatch(lambda quotes, _: absorb(quotes, database, enrichment))
+        .writeStream.foreachBatch(
+            lambda quotes, _: absorb(quotes, database, enrichment, rules, regroup)
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 import pytest
@@ -11,6 +12,7 @@ from strikeloom.schema import QUOTE_SCHEMA, SILVER_HEAD, SILVER_TAIL
 from strikeloom.sinks import maintenance
 from strikeloom.sinks.catalog import session_conf
 from strikeloom.sinks.layers import bronze_table, gold_table, read_silver, silver_table
+from strikeloom.sinks.partitioned import replace_table
 from strikeloom.sources.files import read_quote_csv, read_quote_parquet
 from strikeloom.streaming import intake
 from strikeloom.streaming.intake import run_intake
@@ -141,11 +143,123 @@ def test_files_without_date(spark, landing, database):
 def test_policy_that_empties_a_date(spark, landing, database):
     jobs.load(spark, str(landing), database, bootstrap=True)
     path = str(landing / file_of("20250128"))
-    jobs.load(spark, path, database, policies=["zero_dte"])
+    with pytest.raises(ValueError, match="strikeloom.policies"):
+        jobs.load(spark, path, database, policies=["zero_dte"])
+    assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-28": 4, "2025-01-29": 4}
+    jobs.load(spark, path, database, bootstrap=True, policies=["zero_dte"])
+    same_day = csv_line("SPX   250129C01000000")
+    jobs.load(
+        spark, write_csv(landing, file_of("20250129"), [same_day]), database, policies=["zero_dte"]
+    )
+    assert coverage(spark, database) == {"2025-01-29": 1}
+    write_csv(landing, file_of("20250129"), [csv_line(CHAIN[0])])
+    jobs.load(spark, str(landing / file_of("20250129")), database, policies=["zero_dte"])
+    assert coverage(spark, database) == {}
+    assert spark.table(bronze_table(database)).count() == 5
+
+
+def test_other_mapping_is_refused(spark, landing, database):
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    with pytest.raises(ValueError, match="strikeloom.underlyings"):
+        jobs.load(spark, str(landing), database, underlyings={"SPX": "SPX"})
+    jobs.load(spark, str(landing), database, bootstrap=True, underlyings={"SPX": "SPX"})
+    jobs.load(spark, str(landing), database, underlyings={"SPX": "SPX"})
+    assert sum(coverage(spark, database).values()) == 12
+
+
+@pytest.mark.parametrize("bootstrap", [True, False])
+def test_files_of_one_name_in_two_folders_are_both_kept(spark, database, tmp_path, bootstrap):
+    name = file_of("20250128")
+    a = write_csv(tmp_path / "a", name, [csv_line(s) for s in CHAIN[:3]])
+    b = write_csv(tmp_path / "b c", name, [csv_line(s) for s in CHAIN[2:]])
+    jobs.load(spark, [a, b], database, bootstrap)
+    assert coverage(spark, database) == {"2025-01-28": 5}
+    jobs.load(spark, b, database)
+    assert coverage(spark, database) == {"2025-01-28": 5}
+    write_csv(tmp_path / "b c", name, [])
+    jobs.load(spark, b, database)
+    assert coverage(spark, database) == {"2025-01-28": 3}
+    assert spark.table(bronze_table(database)).count() == 3
+
+
+def test_new_version_from_another_folder_replaces_on_request(spark, landing, database, tmp_path):
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    path = write_csv(tmp_path / "again", file_of("20250128"), [csv_line(CHAIN[0])])
+    jobs.load(spark, path, database, new_versions=True)
+    assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-28": 1, "2025-01-29": 4}
+    empty = write_csv(tmp_path / "third", file_of("20250128"), [])
+    jobs.load(spark, empty, database, new_versions=True)
     assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-29": 4}
+
+
+def test_stream_keeps_files_of_one_name(spark, database, tmp_path):
+    for folder in ("a", "b"):
+        write_csv(tmp_path / "in" / folder, file_of("20250128"), [csv_line(s) for s in CHAIN])
+    run_intake(spark, str(tmp_path / "in" / "*"), database, str(tmp_path / "progress"), 1)
+    assert coverage(spark, database) == {"2025-01-28": 8}
+
+
+def test_columns_are_stored_by_name(spark, landing, database, tmp_path):
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    line = csv_line(CHAIN[0], bid="1.0", ask="9.0")
+    quotes = read_quote_csv(spark, write_csv(tmp_path / "late", file_of("20250130"), [line]))
+    quotes.select(*reversed(quotes.columns)).write.parquet(str(tmp_path / "reversed"))
+    jobs.load(spark, str(tmp_path / "reversed"), database, raw_format="parquet")
+    late = spark.table(silver_table(database)).where("trade_date = '2025-01-30'").first()
+    assert (float(late.bid_px_00), float(late.ask_px_00)) == (1.0, 9.0)
+
+
+@pytest.mark.parametrize(
+    ("change", "fault"),
+    [
+        (lambda q: q.drop("price"), "missing price"),
+        (lambda q: q.selectExpr("*", "1 AS extra"), "unknown extra"),
+        (lambda q: q.withColumn("bid_px_00", q.bid_px_00.cast("string")), "bid_px_00 is string"),
+    ],
+)
+def test_columns_that_do_not_fit_are_refused(spark, landing, database, tmp_path, change, fault):
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    change(read_quote_csv(spark, str(landing))).write.parquet(str(tmp_path / "other"))
+    with pytest.raises(ValueError, match=fault):
+        jobs.load(spark, str(tmp_path / "other"), database, raw_format="parquet")
     assert spark.table(bronze_table(database)).count() == 12
 
 
+def test_bootstrap_without_files_is_refused(spark, landing, database, tmp_path):
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    (tmp_path / "nothing").mkdir()
+    with pytest.raises(ValueError, match="no files"):
+        jobs.load(spark, str(tmp_path / "nothing"), database, bootstrap=True)
+    assert sum(coverage(spark, database).values()) == 12
+    jobs.load(spark, str(tmp_path / "nothing"), database, bootstrap=True, allow_empty=True)
+    assert coverage(spark, database) == {}
+
+
+def test_failing_write_of_a_new_layout_keeps_the_old_rows(spark, database):
+    table = f"{database}.layout"
+    replace_table(spark.range(3).selectExpr("id", "'a' AS k"), table, ("k",))
+    broken = spark.range(3).selectExpr("raise_error('broken') AS id", "id AS extra", "'b' AS k")
+    with pytest.raises(Exception, match="broken"):
+        replace_table(broken.withColumn("id", broken.id.cast("string")), table, ("k",))
+    assert spark.table(table).count() == 3
+    replace_table(spark.range(2).selectExpr("id", "1 AS extra", "'b' AS k"), table, ("k",))
+    assert sorted(r.k for r in spark.table(table).collect()) == ["b", "b"]
+    assert spark.table(table).columns == ["id", "extra", "k"]
+    assert [t.name for t in spark.catalog.listTables(database)] == ["layout"]
+
+
+def test_loads_side_by_side_in_one_session(spark, landing, tmp_path):
+    databases = [scratch_database(spark) for _ in range(4)]
+    for name in databases:
+        jobs.load(spark, str(landing), name, bootstrap=True)
+    late = write_csv(tmp_path / "late", file_of("20250130"), [csv_line(CHAIN[0])])
+    with ThreadPoolExecutor(4) as threads:
+        list(threads.map(lambda name: jobs.load(spark, late, name), databases))
+    for name in databases:
+        assert sum(coverage(spark, name).values()) == 13
+    assert spark.conf.get(OVERWRITE_MODE).upper() == "STATIC"
+
+
 def test_file_names_with_special_characters(spark, landing, database):
     path = write_csv(landing, "a b+c=%41-20250130.csv", [csv_line(CHAIN[0])])
     jobs.load(spark, str(landing), database, bootstrap=True)

@@ -257,7 +257,10 @@ SQL = {
     "bronze_bootstrap": QUOTES + QUOTE_ROWS,
     "bronze_incremental": QUOTES + QUOTE_ROWS,
     "silver_incremental": QUOTES + SILVER_ROWS,
-    "reprocess_idempotent": QUOTES + COVERAGE,
+    "reprocess_idempotent": QUOTES + SILVER_ROWS,
+    "same_name_files": QUOTES + SILVER_ROWS,
+    "parquet_reordered": QUOTES + SILVER_ROWS,
+    "bootstrap_twice": QUOTES + SILVER_ROWS,
     "stream_intake": QUOTES + SILVER_ROWS,
     "gold_roundtrip": ALL_CONDORS + "SELECT * FROM condor",
     "materialized_slice": QUOTES

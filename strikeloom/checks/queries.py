@@ -180,12 +180,46 @@ def silver_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reprocess_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load a database, load a tenth of its files again, and count the rows per date."""
+    """Load a database, load all of its files again, and read all rows back."""
     database = scratch_database(spark)
-    paths = landed_files(spark, sf_dir)
     jobs.load(spark, landed(spark, sf_dir), database, bootstrap=True)
-    jobs.load(spark, paths[: max(1, len(paths) // 10)], database)
-    return reports.date_coverage(read_silver(spark, silver_table(database)))
+    jobs.load(spark, landed(spark, sf_dir), database)
+    return silver_rows(read_silver(spark, silver_table(database)))
+
+
+def calls_and_others(frame: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two parts that together are all quotes."""
+    call = F.coalesce(osi.option_type(F.col("symbol")) == "CALL", F.lit(False))
+    return frame.where(call), frame.where(~call)
+
+
+def same_name_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each date landed as two files of one name in two folders; both loaded, then one again."""
+    database = scratch_database(spark)
+    parts = calls_and_others(quotes(spark, sf_dir))
+    folders = [land_quotes(part, scratch_folder(spark)) for part in parts]
+    jobs.load(spark, folders, database, bootstrap=True)
+    jobs.load(spark, folders[1], database)
+    return silver_rows(read_silver(spark, silver_table(database)))
+
+
+def parquet_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half the quotes loaded from CSV, the others from Parquet with its columns reversed."""
+    database, folder = scratch_database(spark), scratch_folder(spark)
+    calls, others = calls_and_others(quotes(spark, sf_dir))
+    jobs.load(spark, land_quotes(calls, scratch_folder(spark)), database, bootstrap=True)
+    others.select(*reversed(others.columns)).write.parquet(folder)
+    jobs.load(spark, folder, database, raw_format="parquet", regroup=True)
+    return silver_rows(read_silver(spark, silver_table(database)))
+
+
+def bootstrap_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A database of half the quotes bootstrapped again with all of them, grouped by date."""
+    database = scratch_database(spark)
+    calls, _ = calls_and_others(quotes(spark, sf_dir))
+    jobs.load(spark, land_quotes(calls, scratch_folder(spark)), database, bootstrap=True)
+    jobs.load(spark, landed(spark, sf_dir), database, bootstrap=True, regroup=True)
+    return silver_rows(read_silver(spark, silver_table(database)))
 
 
 def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,10 +244,10 @@ def materialized_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compact_preserves_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store silver in many small files, merge them, and read all rows back."""
+    """Store silver in several files a date, merge them, and read all rows back."""
     table = f"{scratch_database(spark)}.fragmented"
-    fragments = silver(spark, sf_dir).repartition(4)
-    fragments.write.partitionBy("trade_date").saveAsTable(table)
+    for part in calls_and_others(silver(spark, sf_dir)):
+        part.write.mode("append").partitionBy("trade_date").saveAsTable(table)
     maintenance.compact(spark, table, "trade_date", SILVER_ORDER)
     return contract_rows(spark.table(table))
 
@@ -487,6 +521,9 @@ QUERIES = {
         bronze_incremental,
         silver_incremental,
         reprocess_idempotent,
+        same_name_files,
+        parquet_reordered,
+        bootstrap_twice,
         stream_intake,
         gold_roundtrip,
         materialized_slice,

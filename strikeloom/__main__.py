@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from strikeloom import jobs
 from strikeloom.operators.policies import POLICIES
 from strikeloom.plans.registry import STRATEGIES
-from strikeloom.sinks.layers import SILVER_ORDER, silver_table
+from strikeloom.sinks.layers import SILVER_ORDER, gold_table, silver_table
 from strikeloom.sinks.maintenance import compact
 from strikeloom.streaming.intake import FILES_PER_BATCH, run_intake
 
@@ -69,6 +69,9 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
         )
     elif options.mode == "compact":
         compact(spark, silver_table(options.database), "trade_date", SILVER_ORDER)
+        for name in STRATEGIES:
+            if jobs.has_gold(spark, options.database, name):
+                compact(spark, gold_table(options.database, name), "trade_date")
     else:
         outcome = jobs.run_strategies(spark, options.database, options.strategies or None)
         for name, succeeded in outcome.items():

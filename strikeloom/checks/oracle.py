@@ -17,6 +17,9 @@ quotes AS (
         l_quantity + l_discount AS ask_px_00,
         cast(l_quantity AS int) AS bid_sz_00,
         cast(l_linenumber AS int) AS ask_sz_00,
+        cast(NULL AS bigint) AS ts_event_epoch, 193 AS rtype, 30 AS publisher_id, 'N' AS side,
+        cast(NULL AS double) AS price, 0 AS size, 200 AS flags, 0 AS bid_pb_00, 0 AS ask_pb_00,
+        'opra-pillar-' || strftime(d, '%Y%m%d') AS file_stem,
         rpad(CASE WHEN l_quantity = 50 AND l_discount = 0.1 THEN 'VIX'
                   WHEN l_suppkey % 6 = 0 THEN 'SPX' WHEN l_suppkey % 6 = 1 THEN 'SPXW'
                   WHEN l_suppkey % 6 = 2 THEN 'NDX' WHEN l_suppkey % 6 = 3 THEN 'RUT'
@@ -133,13 +136,14 @@ ALL_CONDORS = QUOTES + CONDOR.format(rows="silver")
 RECENT_CONDORS = QUOTES + WINDOWED.format(days=30) + CONDOR.format(rows="recent")
 RECENT_SIGNALS = QUOTES + WINDOWED.format(days=3) + SIGNALS
 
-QUOTE_ROWS = """
-SELECT ts_recv_epoch, instrument_id, bid_px_00, ask_px_00, bid_sz_00, ask_sz_00, symbol, trade_date
-FROM parsed
+UNTOUCHED = """
+    ts_recv_epoch, ts_event_epoch, rtype, publisher_id, instrument_id, side, price, size, flags,
+    bid_px_00, ask_px_00, bid_sz_00, ask_sz_00, bid_pb_00, ask_pb_00, file_stem
 """
-SILVER_ROWS = """
-SELECT symbol, underlying, trade_date, expiry_date, option_type, strike_price, ts_recv_epoch,
-       instrument_id, bid_px_00, ask_px_00, bid_sz_00, ask_sz_00, mid_price
+QUOTE_ROWS = f"SELECT {UNTOUCHED}, symbol, trade_date FROM parsed"
+SILVER_ROWS = f"""
+SELECT symbol, underlying, trade_date, expiry_date, option_type, strike_price, mid_price,
+       {UNTOUCHED}
 FROM silver
 """
 CONTRACT_ROWS = """
@@ -204,6 +208,19 @@ SQL = {
          FROM strikes GROUP BY underlying, trade_date, expiry_date""",
     "custom_strategy_batches": QUOTES
     + "SELECT symbol, trade_date, ask_px_00 - bid_px_00 > 1 AS wide FROM silver",
+    "custom_strategy_columns": QUOTES
+    + WINDOWED.format(days=30)
+    + """, strike_rows AS (
+        SELECT underlying, trade_date, expiry_date, option_type, strike_price,
+               min(bid_px_00) AS low_bid, max(ask_px_00) AS high_ask,
+               max_by(bid_px_00, {t: ts_recv_epoch, v: bid_px_00}) AS last_bid,
+               sum(ask_sz_00) AS asked
+        FROM recent WHERE two_mid IS NOT NULL GROUP BY ALL
+    )
+    SELECT underlying, trade_date, expiry_date, min(low_bid) AS lowest_bid,
+           max(high_ask) AS highest_ask, sum(last_bid) AS closing_bids,
+           cast(sum(asked) AS bigint) AS asked
+    FROM strike_rows GROUP BY underlying, trade_date, expiry_date""",
     "strategies_run": RECENT_CONDORS
     + """, cheap AS (
         SELECT * FROM silver WHERE trade_date >= (SELECT max(trade_date) FROM silver) - 3
@@ -243,6 +260,12 @@ SQL = {
     "gold_head": ALL_CONDORS
     + "SELECT * FROM condor ORDER BY trade_date, underlying, expiration LIMIT 10",
     "src_csv": QUOTES + QUOTE_ROWS,
+    "src_csv_rejects": QUOTES
+    + f"""SELECT {UNTOUCHED}, symbol, trade_date, false AS rejected
+          FROM parsed WHERE bid_sz_00 <> 7
+          UNION ALL BY NAME
+          SELECT instrument_id, symbol, trade_date, true AS rejected
+          FROM parsed WHERE bid_sz_00 = 7""",
     "src_file_name": QUOTES
     + """SELECT split_part(file_name, '.', 1) AS file_stem, count(*) AS row_count,
                 min(symbol) AS first_symbol
@@ -267,6 +290,6 @@ SQL = {
     + CONTRACT_ROWS.format(
         rows="silver WHERE underlying = 'SPY' AND option_type = 'CALL' AND mid_price < 5"
     ),
-    "compact_preserves_rows": QUOTES + CONTRACT_ROWS.format(rows="silver"),
+    "compact_preserves_rows": QUOTES + SILVER_ROWS,
     "ddl_roundtrip": QUOTES + COVERAGE,
 }

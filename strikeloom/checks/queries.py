@@ -7,7 +7,7 @@ from collections.abc import Callable
 from functools import wraps
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strikeloom import jobs
@@ -19,19 +19,24 @@ from strikeloom.operators import chains, lookback, policies, reports
 from strikeloom.operators.enrich import enrich, underlying_of, with_underlying_from
 from strikeloom.plans import condor, custom, threshold
 from strikeloom.plans.registry import STRATEGIES, Strategy
-from strikeloom.schema import CHAIN_KEY, CONDOR_COLUMNS, UNDERLYINGS
+from strikeloom.schema import CHAIN_KEY, CONDOR_COLUMNS, QUOTE_SCHEMA, REJECTED, UNDERLYINGS
 from strikeloom.sinks import maintenance
 from strikeloom.sinks.layers import (
     SILVER_ORDER,
     bronze_table,
     gold_table,
     read_silver,
+    rejects_table,
     replace_gold,
     silver_table,
 )
 from strikeloom.sources import bars, files
 from strikeloom.streaming.intake import run_intake
 
+# Quote columns compared as they are.
+PASSED = tuple(
+    name for name in QUOTE_SCHEMA.fieldNames() if name not in ("ts_recv", "ts_event", "symbol")
+)
 
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,17 +96,20 @@ def landed_files(spark: SparkSession, sf_dir: str) -> list[str]:
 # --- comparable outputs ----------------------------------------------------------------------
 
 
+def untouched() -> list[Column]:
+    """The quote columns that silver passes through, and what names the file."""
+    return [
+        F.unix_seconds("ts_recv").alias("ts_recv_epoch"),
+        F.unix_seconds("ts_event").alias("ts_event_epoch"),
+        *map(F.col, PASSED),
+        F.substring_index("file_name", ".", 1).alias("file_stem"),
+    ]
+
+
 def quote_rows(frame: DataFrame) -> DataFrame:
-    """Every quote, without the part of the file name a split of a large date may vary in."""
+    """Every quote, all columns, without the part of the file name a split date may vary in."""
     return frame.select(
-        F.unix_seconds("ts_recv").alias("ts_recv_epoch"),
-        "instrument_id",
-        "bid_px_00",
-        "ask_px_00",
-        "bid_sz_00",
-        "ask_sz_00",
-        "symbol",
-        osi.trade_date(F.col("file_name")).alias("trade_date"),
+        *untouched(), "symbol", osi.trade_date(F.col("file_name")).alias("trade_date")
     )
 
 
@@ -113,12 +121,7 @@ def silver_rows(frame: DataFrame) -> DataFrame:
         "expiry_date",
         "option_type",
         F.col("strike_price").cast("double").alias("strike_price"),
-        F.unix_seconds("ts_recv").alias("ts_recv_epoch"),
-        "instrument_id",
-        "bid_px_00",
-        "ask_px_00",
-        "bid_sz_00",
-        "ask_sz_00",
+        *untouched(),
         F.col("mid_price").cast("double").alias("mid_price"),
     )
 
@@ -143,6 +146,23 @@ def src_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quote_rows(files.read_quote_csv(spark, landed(spark, sf_dir)))
 
 
+def src_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes landed with an unreadable bid where seven lots are bid: stored rows and rejects."""
+    database = scratch_database(spark)
+    bid = F.when(F.col("bid_sz_00") == 7, "oops").otherwise(F.col("bid_px_00").cast("string"))
+    broken = quotes(spark, sf_dir).withColumn("bid_px_00", bid)
+    jobs.load(spark, land_quotes(broken, scratch_folder(spark)), database, bootstrap=True)
+    stored = quote_rows(spark.table(bronze_table(database))).withColumn("rejected", F.lit(False))
+    fields = F.split(REJECTED, ",")
+    lines = spark.table(rejects_table(database)).select(
+        F.get(fields, F.lit(QUOTE_SCHEMA.names.index("instrument_id"))).alias("instrument_id"),
+        F.get(fields, F.lit(QUOTE_SCHEMA.names.index("symbol"))).alias("symbol"),
+        osi.trade_date(F.col("file_name")).alias("trade_date"),
+        F.lit(True).alias("rejected"),
+    )
+    return stored.unionByName(lines, allowMissingColumns=True)
+
+
 def src_file_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = files.read_quote_csv(spark, landed(spark, sf_dir))
     named = read.select(F.substring_index("file_name", ".", 1).alias("file_stem"), "symbol")
@@ -249,7 +269,7 @@ def compact_preserves_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in calls_and_others(silver(spark, sf_dir)):
         part.write.mode("append").partitionBy("trade_date").saveAsTable(table)
     maintenance.compact(spark, table, "trade_date", SILVER_ORDER)
-    return contract_rows(spark.table(table))
+    return silver_rows(spark.table(table))
 
 
 def ddl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,6 +413,40 @@ def custom_strategy_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return custom.per_chain(_strike_span, SPAN_SCHEMA)(silver(spark, sf_dir))
 
 
+def _quoted_range(chain: pd.DataFrame) -> pd.DataFrame:
+    """A user's strategy on columns of its own: what was bid and asked over a chain's strikes."""
+    return chain[list(CHAIN_KEY)].head(1).assign(
+        lowest_bid=chain["low_bid"].min(),
+        highest_ask=chain["high_ask"].max(),
+        closing_bids=chain["last_bid"].sum(),
+        asked=int(chain["asked"].sum()),
+    )
+
+
+RANGE_SCHEMA = (
+    "underlying string, trade_date date, expiry_date date, lowest_bid double, "
+    "highest_ask double, closing_bids double, asked bigint"
+)
+RANGE_COLUMNS = {
+    "low_bid": ("bid_px_00", "min"),
+    "high_ask": ("ask_px_00", "max"),
+    "last_bid": ("bid_px_00", "last"),
+    "asked": ("ask_sz_00", "sum"),
+}
+
+
+def custom_strategy_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registered and run like the other strategies, then read from its gold table."""
+    database = loaded(spark, sf_dir)
+    strategy = Strategy(
+        columns=(*condor.INPUT, "ts_recv", "bid_px_00", "ask_px_00", "ask_sz_00"),
+        signals=custom.per_chain(_quoted_range, RANGE_SCHEMA, RANGE_COLUMNS),
+        lookback_days=30,
+    )
+    jobs.run_strategies(spark, database, ["QuotedRange"], {"QuotedRange": strategy})
+    return spark.table(gold_table(database, "QuotedRange"))
+
+
 def _spread(batch: pd.DataFrame) -> pd.DataFrame:
     wide = batch["ask_px_00"] - batch["bid_px_00"] > 1
     return batch[["symbol", "trade_date"]].assign(wide=wide)
@@ -504,6 +558,7 @@ QUERIES = {
         condor_valid_rows,
         custom_strategy_pandas,
         custom_strategy_batches,
+        custom_strategy_columns,
         strategies_run,
         option_type_counts,
         distinct_underlying,
@@ -514,6 +569,7 @@ QUERIES = {
         range_profile,
         gold_head,
         src_csv,
+        src_csv_rejects,
         src_file_name,
         src_parquet,
         bars_range,

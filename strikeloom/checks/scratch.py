@@ -1,24 +1,16 @@
 """Scratch space for tables that checks write and read back."""
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 from strikeloom.sinks.catalog import create_database
+from strikeloom.sinks.shared import shared_folder
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
-
-    Only a local session without that setting gets a folder of this machine.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="strikeloom-")
-    return f"{shared}/strikeloom/{uuid4().hex}"
+    """A fresh folder in storage that every executor reaches; also on one machine."""
+    return shared_folder(spark)
 
 
 def scratch_database(spark: SparkSession) -> str:

@@ -21,6 +21,7 @@ from strikeloom.sinks.layers import (
     gold_table,
     keep_rules,
     rebuild_silver,
+    rejects_table,
     replace_bronze,
     replace_gold,
     rules_of,
@@ -43,8 +44,11 @@ def load(
     regroup: bool = False,
     new_versions: bool = False,
     allow_empty: bool = False,
-) -> None:
-    """Quote files to bronze and silver.
+) -> int:
+    """Quote files to bronze and silver; returns how many lines could not be read.
+
+    Such lines, cut short or with a field of another type, are kept with their file in the rejects
+    table and stay out of both layers.
 
     ``bootstrap`` makes the files the whole content of both tables; with no files at all that would
     wipe them, so it is refused unless ``allow_empty`` is set. Otherwise files are added, or
@@ -63,11 +67,14 @@ def load(
         if not allow_empty and not quotes.inputFiles():
             raise ValueError(f"no files in {path}: a bootstrap would empty database {database}")
         bronze, silver = bronze_table(database), silver_table(database)
-        replace_bronze(quotes, bronze)
+        rejected = replace_bronze(quotes, bronze, rejects_table(database))
         rebuild_silver(spark, bronze, silver, enrichment, regroup)
         keep_rules(spark, silver, rules)
     else:
-        absorb(quotes, database, enrichment, rules, regroup, new_versions)
+        rejected = absorb(quotes, database, enrichment, rules, regroup, new_versions)
+    if rejected:
+        logger.warning("%d lines could not be read: see %s", rejected, rejects_table(database))
+    return rejected
 
 
 def run_strategy(

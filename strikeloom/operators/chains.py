@@ -1,5 +1,6 @@
 """Steps over option chains: one price per strike, strike ranks, legs and chain validity."""
 
+from collections.abc import Mapping
 from functools import reduce
 from operator import and_
 
@@ -20,9 +21,11 @@ def has_whole_key() -> Column:
     return reduce(and_, [F.col(name).isNotNull() for name in CHAIN_KEY])
 
 
-def strike_prices(silver: DataFrame) -> DataFrame:
+def strike_prices(silver: DataFrame, further: Mapping[str, Column] | None = None) -> DataFrame:
     """Mean mid price per chain, option type and strike, over all minutes and contracts.
 
+    ``further`` names other aggregates to compute along with it.
+
     Strikes without any usable mid are dropped. Sums stay decimal, hence exact and independent of
     row order. Spark combines rows before the shuffle, so a contract holding a large share of all
     quotes still arrives as one partial row per task. NULLs are dealt with on the aggregated rows:
@@ -30,7 +33,8 @@ def strike_prices(silver: DataFrame) -> DataFrame:
     """
     mean = F.try_divide(F.sum("mid_price").cast("double"), F.count("mid_price"))
     strikes = silver.groupBy(*CHAIN_KEY, "option_type", "strike_price")
-    return strikes.agg(mean.alias("mid_price")).where(F.col("mid_price").isNotNull())
+    others = [value.alias(name) for name, value in (further or {}).items()]
+    return strikes.agg(mean.alias("mid_price"), *others).where(F.col("mid_price").isNotNull())
 
 
 def rank_strikes(strikes: DataFrame) -> DataFrame:

@@ -24,6 +24,9 @@ QUOTE_SCHEMA = T.StructType(
     ]
 )
 
+# Column that carries the text of a line that does not fit the layout while files are loaded.
+REJECTED = "rejected_text"
+
 # The reply shape of the daily-bars service and the layout bars are kept in.
 BAR_REPLY_SCHEMA = "ticker string, results array<struct<t: bigint, c: double, v: double>>"
 BAR_COLUMNS = ("timestamp", "symbol", "close", "volume")
@@ -84,6 +87,7 @@ UNDERLYINGS = {
     "VIX": "VXX",
 }
 
-# Table names of the two loaded layers.
+# Table names of the two loaded layers. The rejects are lines kept out of both.
 BRONZE = "bronze_options_chain"
+REJECTS = "bronze_rejects"
 SILVER = "enriched_options_silver"

@@ -4,11 +4,11 @@ import json
 from collections.abc import Callable, Iterable, Mapping
 from hashlib import sha256
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strikeloom.functions import origin, osi
-from strikeloom.schema import BRONZE, SILVER, SILVER_HEAD, SILVER_TAIL
+from strikeloom.schema import BRONZE, REJECTED, REJECTS, SILVER, SILVER_HEAD, SILVER_TAIL
 from strikeloom.sinks.catalog import (
     drop_partitions,
     partition_keys,
@@ -31,6 +31,10 @@ def bronze_table(database: str) -> str:
     return f"{database}.{BRONZE}"
 
 
+def rejects_table(database: str) -> str:
+    return f"{database}.{REJECTS}"
+
+
 def silver_table(database: str) -> str:
     return f"{database}.{SILVER}"
 
@@ -54,13 +58,62 @@ def _bronze_quotes(spark: SparkSession, bronze: str) -> DataFrame:
     return spark.table(bronze).drop("source_id")
 
 
-def replace_bronze(quotes: DataFrame, table: str) -> None:
-    """All landed files at once. Each input split belongs to one file, so nothing is shuffled."""
-    replace_table(_with_source(quotes), table, BRONZE_KEY, BRONZE_ORDER)
+def _readable(quotes: DataFrame, seen: Observation) -> DataFrame:
+    """The rows to store; ``seen`` learns during the write whether there are others."""
+    rejected = F.count(REJECTED) if REJECTED in quotes.columns else F.count(F.lit(None))
+    rows = quotes.observe(seen, rejected.alias("rejected"))
+    return rows.where(F.col(REJECTED).isNull()).drop(REJECTED) if REJECTED in rows.columns else rows
+
+
+def _rejected(quotes: DataFrame) -> DataFrame:
+    """File and text of the lines that could not be read.
+
+    The metric keeps all columns in the scan: a line is judged by those that are asked for.
+    """
+    lines = quotes.where(F.col(REJECTED).isNotNull())
+    judged = lines.observe(Observation(), F.max(F.hash(*quotes.columns)).alias("judged"))
+    return _with_source(judged).select(*BRONZE_KEY, REJECTED)
+
+
+def replace_bronze(quotes: DataFrame, table: str, rejects: str) -> int:
+    """All landed files at once. Each input split belongs to one file, so nothing is shuffled.
+
+    Lines that cannot be read go to ``rejects``, by a second scan only if there are any; returns
+    how many there are.
+    """
+    spark, seen = quotes.sparkSession, Observation()
+    replace_table(_with_source(_readable(quotes, seen)), table, BRONZE_KEY, BRONZE_ORDER)
+    if seen.get["rejected"]:
+        replace_table(_rejected(quotes), rejects, BRONZE_KEY)
+        return spark.table(rejects).count()
+    if spark.catalog.tableExists(rejects):
+        drop_partitions(spark, rejects, BRONZE_KEY, partition_keys(spark, rejects))
+    return 0
+
+
+def _replace_rejects(
+    quotes: DataFrame, rejects: str, any_rejected: bool, replaced: Callable[[tuple], bool]
+) -> int:
+    """Store the rejected lines of loaded files and drop those of earlier versions; their number."""
+    spark = quotes.sparkSession
+    written, number = set(), 0
+    if any_rejected:
+        seen = Observation()
+        lines = _rejected(quotes).observe(seen, F.count(F.lit(1)).alias("lines"))
+        written = replace_partitions(lines, rejects, BRONZE_KEY)
+        number = seen.get["lines"]
+    if spark.catalog.tableExists(rejects):
+        held = set(partition_keys(spark, rejects)) - written
+        drop_partitions(spark, rejects, BRONZE_KEY, [key for key in held if replaced(key)])
+    return number
 
 
-def replace_bronze_files(quotes: DataFrame, table: str, new_versions: bool = False) -> set[str]:
-    """Add files or replace those loaded before from the same place; returns the file names.
+def replace_bronze_files(
+    quotes: DataFrame, table: str, rejects: str, new_versions: bool = False
+) -> tuple[set[str], int]:
+    """Add files or replace those loaded before from the same place.
+
+    Returns the file names and the number of lines that could not be read and went to ``rejects``.
 
     A file is known by its name and folder: one of the same name from another folder is kept beside
     it, unless ``new_versions`` says that it replaces every other one of that name. A file that has
@@ -69,16 +122,20 @@ def replace_bronze_files(quotes: DataFrame, table: str, new_versions: bool = Fal
     spark = quotes.sparkSession
     uris = quotes.inputFiles()
     landed = {(uri.rsplit("/", 1)[1], origin.source_id_of(uri)) for uri in uris}
-    written = replace_partitions(_with_source(quotes), table, BRONZE_KEY, BRONZE_ORDER)
+    seen = Observation()
+    rows = _with_source(_readable(quotes, seen))
+    written = replace_partitions(rows, table, BRONZE_KEY, BRONZE_ORDER)
     if not written <= landed:
         landed = written  # names come with the rows, so those of the data files mean nothing
-    emptied = landed - written
-    if emptied or new_versions:
-        names = {name for name, _ in landed}
+    names = {name for name, _ in landed}
+
+    def replaced(key: tuple) -> bool:
+        return key in landed or (new_versions and key[0] in names)
+
+    if landed - written or new_versions:
         held = set(partition_keys(spark, table)) - written
-        stale = [key for key in held if key in emptied or (new_versions and key[0] in names)]
-        drop_partitions(spark, table, BRONZE_KEY, stale)
-    return {name for name, _ in landed}
+        drop_partitions(spark, table, BRONZE_KEY, [key for key in held if replaced(key)])
+    return names, _replace_rejects(quotes, rejects, seen.get["rejected"] > 0, replaced)
 
 
 def trade_dates_of(spark: SparkSession, files: Iterable[str]) -> set[str | None]:

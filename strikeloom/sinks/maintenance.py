@@ -1,16 +1,23 @@
 """Upkeep of stored tables: slices and file sizes."""
 
-from pyspark.sql import DataFrame, SparkSession
+from math import ceil
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strikeloom.sinks.catalog import (
     NULL_PARTITION,
     replace_written_partitions_only,
-    session_conf,
+    set_table_properties,
+    table_properties,
 )
 
 # Fixed value: size data files should have.
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+# Sorted anew, the same rows may take a little less room: not worth another rewrite.
+TOLERANCE = 1.1
+# Property of a copy that holds all rows it was made for.
+COMPLETE = "strikeloom.complete"
 
 
 def materialize_slice(spark: SparkSession, source: str, target: str, criteria: str) -> None:
@@ -31,6 +38,79 @@ def file_sizes(spark: SparkSession, table: str, column: str) -> DataFrame:
     )
 
 
+def _bloated(
+    spark: SparkSession, table: str, column: str, target_bytes: int
+) -> dict[str | None, int]:
+    """Files wanted by each partition that holds more than its bytes call for."""
+    sizes = file_sizes(spark, table, column)
+    many = sizes.where(F.col("files") > F.ceil(F.col("bytes") * TOLERANCE / target_bytes))
+    return {value: ceil(size / target_bytes) for value, _, size in many.collect()}
+
+
+def _key(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit(NULL_PARTITION))
+
+
+def _partitions(rows: DataFrame, column: str, values: list[str | None]) -> DataFrame:
+    return rows.where(_key(column).isin([value or NULL_PARTITION for value in values]))
+
+
+def _grouped(
+    rows: DataFrame, column: str, order: tuple[str, ...], wanted: dict[str | None, int]
+) -> DataFrame:
+    """One task, hence one file, per wanted file. Rows are dealt out in turn.
+
+    The plan of tasks has a row per partition of the table, no more than the catalog lists.
+    """
+    spark = rows.sparkSession
+    first, plan = 0, []
+    for value, files in wanted.items():
+        plan.append((value or NULL_PARTITION, first, files))
+        first += files
+    tasks = spark.createDataFrame(plan, "_value string, _first int, _files int")
+    numbered = rows.withColumn("_row", F.monotonically_increasing_id())
+    placed = numbered.join(tasks, _key(column) == F.col("_value")).repartitionById(
+        first, F.col("_first") + F.pmod("_row", "_files").cast("int")
+    )
+    return placed.sortWithinPartitions(column, *order).select(*rows.columns)
+
+
+def _copy_of(table: str) -> str:
+    return f"{table}__compact"
+
+
+def _require_same_counts(copy: DataFrame, rows: DataFrame, column: str) -> None:
+    def counts(frame: DataFrame, name: str) -> DataFrame:
+        return frame.groupBy(_key(column).alias("_value")).agg(F.count(F.lit(1)).alias(name))
+
+    both = counts(copy, "_copied").join(counts(rows, "_stored"), "_value", "full")
+    if not both.where(~F.col("_copied").eqNullSafe(F.col("_stored"))).isEmpty():
+        raise RuntimeError("the table changed while it was compacted; nothing was replaced")
+
+
+def _take_over(
+    spark: SparkSession, table: str, column: str, order: tuple[str, ...], wanted: dict
+) -> None:
+    copied = _grouped(spark.table(_copy_of(table)), column, order, wanted)
+    replace_written_partitions_only(spark, table)
+    copied.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    spark.sql(f"DROP TABLE {_copy_of(table)}")
+
+
+def finish_compaction(
+    spark: SparkSession, table: str, column: str, order: tuple[str, ...] = ()
+) -> list[str | None]:
+    """Put the complete copy that a broken-off compaction left in place; returns its values.
+
+    It replaces what these partitions hold, so call it before anything else is loaded into them.
+    """
+    files = {value: n for value, n, _ in file_sizes(spark, _copy_of(table), column).collect()}
+    if table_properties(spark, _copy_of(table)).get(COMPLETE) != "true":
+        raise ValueError(f"{_copy_of(table)} is not a complete copy")
+    _take_over(spark, table, column, order, files)
+    return list(files)
+
+
 def compact(
     spark: SparkSession,
     table: str,
@@ -38,23 +118,29 @@ def compact(
     order: tuple[str, ...] = (),
     target_bytes: int = TARGET_FILE_BYTES,
 ) -> list[str | None]:
-    """Rewrite partitions that hold more files than their size calls for; returns their values.
+    """Rewrite partitions that hold more files than their bytes call for; returns their values.
 
-    Rows are rebalanced by partition value towards the target size, which also splits a large
-    partition over several tasks, and sorted by ``order`` within each file. Rewritten files are
-    staged and take effect when the job commits; no other job may write to these partitions
-    meanwhile.
+    The rows are first written to a table beside, with as many files as the stored bytes call for.
+    Where rows got smaller by that, the copy is grouped again, so a second run finds nothing to do.
+    Only a copy with the same row counts replaces the partitions, and it is dropped after that: at
+    any moment one of the two is whole. A complete copy left by a broken-off run is refused; see
+    ``finish_compaction``. No other job may write to these partitions meanwhile.
     """
-    fewest = F.ceil(F.col("bytes") / target_bytes)
-    bloated = file_sizes(spark, table, column).where(F.col("files") > fewest).select("value")
-    values = [value for (value,) in bloated.collect()]
-    if not values:
-        return values
-    key = F.coalesce(F.col(column).cast("string"), F.lit(NULL_PARTITION))
-    rows = spark.table(table).where(key.isin([value or NULL_PARTITION for value in values]))
-    size = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes)}
-    replace_written_partitions_only(spark, table)
-    with session_conf(spark, size):
-        regrouped = rows.hint("rebalance", column).sortWithinPartitions(column, *order)
-        regrouped.write.mode("overwrite").insertInto(table)
-    return values
+    copy = _copy_of(table)
+    if spark.catalog.tableExists(copy) and table_properties(spark, copy).get(COMPLETE) == "true":
+        raise ValueError(f"{copy} was left by a broken-off compaction: finish that first")
+    wanted = _bloated(spark, table, column, target_bytes)
+    if not wanted:
+        return []
+    rows = _partitions(spark.table(table), column, list(wanted))
+    more = wanted
+    while more:
+        _grouped(rows, column, order, wanted).write.mode("overwrite").partitionBy(
+            column
+        ).saveAsTable(copy)
+        more = _bloated(spark, copy, column, target_bytes)
+        wanted = wanted | more
+    _require_same_counts(spark.table(copy), rows, column)
+    set_table_properties(spark, copy, {COMPLETE: "true"})
+    _take_over(spark, table, column, order, wanted)
+    return list(wanted)

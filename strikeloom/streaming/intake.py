@@ -14,6 +14,7 @@ from strikeloom.sinks.layers import (
     bronze_table,
     keep_rules,
     refresh_silver,
+    rejects_table,
     replace_bronze_files,
     require_same_rules,
     rules_of,
@@ -33,15 +34,20 @@ def absorb(
     rules: Mapping[str, str],
     regroup: bool = False,
     new_versions: bool = False,
-) -> None:
-    """Take quote files into bronze and refresh the silver dates they touch; safe to repeat."""
+) -> int:
+    """Take quote files into bronze and refresh the silver dates they touch; safe to repeat.
+
+    Returns the number of lines that could not be read and went to the rejects table.
+    """
     spark = quotes.sparkSession
     bronze, silver = bronze_table(database), silver_table(database)
     require_same_rules(spark, silver, rules)
-    files = replace_bronze_files(quotes, bronze, new_versions)
+    rejects = rejects_table(database)
+    files, rejected = replace_bronze_files(quotes, bronze, rejects, new_versions)
     dates = trade_dates_of(spark, files)
     refresh_silver(spark, bronze, silver, enrichment, dates, regroup)
     keep_rules(spark, silver, rules)
+    return rejected
 
 
 def run_intake(
@@ -74,6 +80,7 @@ def run_intake(
     )
     query.awaitTermination()
     # Batches are written in a session of the stream; this one may hold older file listings.
-    for table in (bronze_table(database), silver_table(database)):
+    tables = (bronze_table, silver_table, rejects_table)
+    for table in (name(database) for name in tables):
         if spark.catalog.tableExists(table):
             spark.catalog.refreshTable(table)

@@ -1,5 +1,3 @@
-import pytest
-
 from __spark_entry__ import entry
 from strikeloom.checks.scratch import scratch_folder
 from strikeloom.schema import CONDOR_COLUMNS
@@ -17,15 +15,12 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert scratch_folder(spark) != scratch_folder(spark)
 
 
-def test_cluster_without_shared_folder_is_refused():
-    class Cluster:
-        class conf:
-            @staticmethod
-            def get(key, default=None):
-                return default
-
-        class sparkContext:
-            master = "yarn"
-
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_folder(Cluster)
+def test_scratch_without_shared_folder_lies_in_the_warehouse(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.unset("spark.checkpoint.dir")
+    try:
+        if spark.conf.get("spark.checkpoint.dir", None) is None:
+            warehouse = spark.conf.get("spark.sql.warehouse.dir")
+            assert scratch_folder(spark).startswith(warehouse.rstrip("/"))
+    finally:
+        spark.conf.set("spark.checkpoint.dir", shared)

@@ -10,8 +10,8 @@ from strikeloom.operators.lookback import newest_stored_date
 from strikeloom.plans.registry import STRATEGIES, Strategy
 from strikeloom.schema import QUOTE_SCHEMA, SILVER_HEAD, SILVER_TAIL
 from strikeloom.sinks import maintenance
-from strikeloom.sinks.catalog import session_conf
-from strikeloom.sinks.layers import bronze_table, gold_table, read_silver, silver_table
+from strikeloom.sinks.catalog import set_table_properties
+from strikeloom.sinks.layers import bronze_table, gold_table, read_silver, rejects_table, silver_table
 from strikeloom.sinks.partitioned import replace_table
 from strikeloom.sources.files import read_quote_csv, read_quote_parquet
 from strikeloom.streaming import intake
@@ -405,8 +405,75 @@ def test_compaction_with_missing_dates(spark, database):
     assert len(spark.table(table).inputFiles()) == 2
 
 
-def test_settings_are_restored_after_a_failure(spark):
-    before = spark.conf.get(OVERWRITE_MODE)
-    with pytest.raises(RuntimeError), session_conf(spark, {OVERWRITE_MODE: "dynamic"}):
-        raise RuntimeError
-    assert spark.conf.get(OVERWRITE_MODE) == before
+def _repeating(spark, table, files):
+    """Rows that take far less room once sorted, in many files of two dates."""
+    rows = spark.range(400_000).selectExpr(
+        "xxhash64(id % 2000) AS a", "hash(id) AS b",
+        "if(id % 8 = 0, date'2025-01-02', date'2025-01-01') AS trade_date",
+    )
+    rows.repartition(files).write.partitionBy("trade_date").saveAsTable(table)
+
+
+@pytest.mark.parametrize("target", [20_000, 150_000, 600_000, 10_000_000])
+def test_compaction_settles(spark, database, target):
+    table = f"{database}.repeating"
+    _repeating(spark, table, 60)
+    before = spark.table(table).selectExpr("sum(hash(*)) AS s", "count(*) AS n").first()
+    maintenance.compact(spark, table, "trade_date", ("a", "b"), target)
+    assert maintenance.compact(spark, table, "trade_date", ("a", "b"), target) == []
+    assert spark.table(table).selectExpr("sum(hash(*)) AS s", "count(*) AS n").first() == before
+    assert not spark.catalog.tableExists(f"{table}__compact")
+
+
+def test_compaction_that_broke_off_is_finished_from_its_copy(spark, database, monkeypatch):
+    table = f"{database}.broken_off"
+    _repeating(spark, table, 4)
+    before = sorted(spark.table(table).groupBy("trade_date").count().collect())
+    with monkeypatch.context() as patched:
+        patched.setattr(maintenance, "_take_over", _crash)
+        with pytest.raises(RuntimeError):
+            maintenance.compact(spark, table, "trade_date")
+    spark.sql(f"ALTER TABLE {table} DROP PARTITION (trade_date = '2025-01-01')")
+    with pytest.raises(ValueError, match="broken-off"):
+        maintenance.compact(spark, table, "trade_date")
+    maintenance.finish_compaction(spark, table, "trade_date")
+    assert sorted(spark.table(table).groupBy("trade_date").count().collect()) == before
+    assert maintenance.compact(spark, table, "trade_date") == []
+
+
+def test_incomplete_copy_is_not_taken(spark, database):
+    table = f"{database}.incomplete"
+    _repeating(spark, table, 4)
+    spark.table(table).limit(5).write.partitionBy("trade_date").saveAsTable(f"{table}__compact")
+    with pytest.raises(ValueError, match="not a complete copy"):
+        maintenance.finish_compaction(spark, table, "trade_date")
+    set_table_properties(spark, table, {"unrelated": "kept"})
+    assert len(maintenance.compact(spark, table, "trade_date")) == 2
+    assert spark.table(table).count() == 400_000
+
+
+def rejects(spark, database):
+    rows = spark.table(rejects_table(database)).select("file_name", "rejected_text").collect()
+    return sorted(map(tuple, rows))
+
+
+@pytest.mark.parametrize("bootstrap", [True, False])
+def test_lines_that_cannot_be_read_are_kept_apart(spark, database, tmp_path, bootstrap):
+    unreadable = [csv_line(CHAIN[1], bid="oops"), "2025-01-28T14:31:00.000000000Z,,193,30,1"]
+    name = file_of("20250128")
+    path = write_csv(tmp_path / "in", name, [csv_line(CHAIN[0]), *unreadable, csv_line(CHAIN[2])])
+    assert jobs.load(spark, path, database, bootstrap=bootstrap) == 2
+    assert coverage(spark, database) == {"2025-01-28": 2}
+    assert rejects(spark, database) == sorted((name, text) for text in unreadable)
+    write_csv(tmp_path / "in", name, [csv_line(s) for s in CHAIN])
+    assert jobs.load(spark, path, database, bootstrap=bootstrap) == 0
+    assert coverage(spark, database) == {"2025-01-28": 4}
+    assert rejects(spark, database) == []
+
+
+def test_stream_keeps_unreadable_lines(spark, landing, database, tmp_path):
+    name = file_of("20250130")
+    write_csv(landing, name, ["cut,short", csv_line(CHAIN[0])])
+    run_intake(spark, str(landing), database, str(tmp_path / "progress"), files_per_batch=1)
+    assert coverage(spark, database)["2025-01-30"] == 1
+    assert rejects(spark, database) == [(name, "cut,short")]

@@ -267,3 +267,41 @@ def test_missing_segments_are_an_error(spark):
     rows = [warc._row(*next(iter(warc.parse_records(p + b"\r\n\r\n")))) for p in parts[:1] + parts[2:]]
     with pytest.raises(Exception, match="segments missing"):
         warc.reassembled(spark.createDataFrame(rows, warc.PARSED)).collect()
+
+
+def words_of(seed, n):
+    pick = random.Random(seed)
+    return [f"w{pick.randrange(10**6)}" for _ in range(n)]
+
+
+def runs_of(words):
+    return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
+
+def alike(a, b):
+    x, y = runs_of(a), runs_of(b)
+    return len(x & y) / len(x | y)
+
+
+def near_ids(spark, texts):
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    return compact_windows.near_passages(frame).collect()
+
+
+@pytest.mark.parametrize("n", range(50, 91, 8))
+def test_insertions_and_deletions_equal_brute_force(n):
+    passage = words_of(n, n)
+    for other in (passage[: n // 2] + ["new"] + passage[n // 2 :], passage[: n // 2] + passage[n // 2 + 1 :]):
+        a, b = words_of(1, 40) + passage + words_of(2, 30), words_of(3, 20) + other + words_of(4, 50)
+        for x, y in ((a, b), (b, a)):
+            tokens = [compact_windows.shingles(" ".join(t)) for t in (x, y)]
+            found = compact_windows.passages(*tokens, 46, 0.8)
+            near = {
+                i
+                for i in range(len(x) - 49)
+                for j in range(len(y) - 49)
+                for size in range(50, 62)
+                if alike(x[i : i + 50], y[j : j + size]) >= 0.8
+            } if n == 50 else set()
+            assert found and all(any(s <= i and i + 46 <= e for s, e, _, _ in found) for i in near)
+            assert all(share >= 0.8 for *_, share in found)

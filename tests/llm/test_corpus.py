@@ -305,3 +305,13 @@ def test_insertions_and_deletions_equal_brute_force(n):
             } if n == 50 else set()
             assert found and all(any(s <= i and i + 46 <= e for s, e, _, _ in found) for i in near)
             assert all(share >= 0.8 for *_, share in found)
+
+
+def test_every_repeat_of_a_passage_is_found(spark):
+    passage = words_of(1, 60)
+    texts = [words_of(2, 30) + passage + words_of(3, 30)]
+    texts.append(sum((words_of(k, 40) + passage for k in range(4, 9)), []))
+    found = [(r.start_word, r.end_word) for r in near_ids(spark, texts)]
+    for k in range(5):
+        place = 40 + 100 * k
+        assert any(i <= place and place + 60 <= j for i, j in found), k

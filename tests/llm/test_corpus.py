@@ -315,3 +315,23 @@ def test_every_repeat_of_a_passage_is_found(spark):
     for k in range(5):
         place = 40 + 100 * k
         assert any(i <= place and place + 60 <= j for i, j in found), k
+
+
+def test_equal_passages_are_found_behind_an_earlier_variant(spark):
+    texts = []
+    for k in range(24):
+        passage = words_of(k, 50)
+        variant = passage[:40] + words_of(100 + k, 10)
+        assert 0.6 < alike(passage, variant) < 0.8
+        texts += [variant, passage, words_of(200 + k, 70) + passage]
+    found = {(r.doc_id, r.partner_id) for r in near_ids(spark, texts)}
+    near = {(i, j) for i, a in enumerate(texts) for j, b in enumerate(texts[:i]) if set(b[:50]) <= set(a)}
+    assert found == near and len(near) == 24
+
+
+def test_closed_windows_stay_as_partners(spark):
+    base = words_of(1, 50)
+    texts = [base[:47] + words_of(2, 3), base, words_of(3, 3) + base[3:]]
+    assert alike(texts[0], texts[1]) >= 0.8 > alike(texts[0], texts[2])
+    assert alike(texts[1], texts[2]) >= 0.8
+    assert {r.doc_id for r in near_ids(spark, texts)} == {1, 2}

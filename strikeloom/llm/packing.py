@@ -7,7 +7,7 @@ from pyspark.sql.window import Window
 
 MAX_TOKENS = 2048
 BUCKETS = 8
-STEP = 64
+STEP = 1
 BUDGET = 65536
 # Rows of one bucket that share these first hex digits of their hash are numbered together.
 PREFIX_DIGITS = 3
@@ -51,26 +51,29 @@ def boundaries(
     lengths = np.array([n for n in histogram], dtype=np.int64)
     counts = np.array([histogram[n] for n in histogram], dtype=np.int64)
     slot = np.searchsorted(edges, lengths) if len(lengths) else np.zeros(0, np.int64)
-    held = np.concatenate(([0], np.cumsum(np.bincount(slot, counts, len(edges)).astype(np.int64))))
+    held = np.cumsum(np.bincount(slot, counts, len(edges)).astype(np.int64))
 
     # Padded size is what varies: rows between two edges are stored at the upper one's length.
-    best: dict[int, tuple[int, list[int]]] = {-1: (0, [])}
-    chosen = None
-    for _ in range(buckets):
-        following = {}
-        for end, edge in enumerate(edges):
-            options = [
-                (cost + edge * int(held[end + 1] - held[start + 1]), [*path, edge])
-                for start, (cost, path) in best.items()
-                if start < end
-            ]
-            if options:
-                following[end] = min(options)
-        best = following
-        full = best.get(len(edges) - 1)
-        if full and (chosen is None or full[0] < chosen[0]):
-            chosen = full
-    return chosen[1]
+    size = np.array(edges, np.int64)
+    none = np.iinfo(np.int64).max // 2
+    # From start (row) to end (column); ``rank`` orders the paths of one level.
+    added = np.where(np.tri(len(edges), dtype=bool), none, size * (held - held[:, None]))
+    cost, rank, steps = size * held, np.arange(len(edges)), []
+    chosen = (int(cost[-1]), 1)
+    for level in range(2, min(buckets, len(edges)) + 1):
+        options = np.minimum(cost[:, None] + added, none)
+        cost = options.min(0)
+        start = np.where(options == cost, rank[:, None], len(edges)).argmin(0)
+        steps.append(start)
+        order = np.lexsort((np.arange(len(edges)), rank[start]))
+        rank = np.empty(len(edges), np.int64)
+        rank[order] = np.arange(len(edges))
+        if int(cost[-1]) < chosen[0]:
+            chosen = (int(cost[-1]), level)
+    path = [len(edges) - 1]
+    for start in steps[: chosen[1] - 1][::-1]:
+        path.append(int(start[path[-1]]))
+    return [edges[k] for k in path[::-1]]
 
 
 def packed(

@@ -89,7 +89,8 @@ def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(documents(spark, sf_dir))
+    # The grid of the query's SQL; every length can be a bucket's where no step is given.
+    return packing.packed(documents(spark, sf_dir), step=64)
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -335,3 +335,15 @@ def test_closed_windows_stay_as_partners(spark):
     assert alike(texts[0], texts[1]) >= 0.8 > alike(texts[0], texts[2])
     assert alike(texts[1], texts[2]) >= 0.8
     assert {r.doc_id for r in near_ids(spark, texts)} == {1, 2}
+
+
+def test_every_length_can_be_a_bucket():
+    pick = random.Random(4)
+    counts = {65: 1000, **{n: pick.randrange(1, 50) for n in pick.sample(range(1, 2049), 60)}}
+    edges = packing.boundaries(counts, buckets=3)
+
+    def cost(chosen):
+        return sum(c * min(e for e in chosen if e >= n) for n, c in counts.items())
+
+    assert cost(edges) == min(cost([a, b, 2048]) for a in counts for b in counts)
+    assert packing.boundaries({65: 5, 2048: 1}) == [65, 2048]

@@ -17,9 +17,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that repeat an earlier one; n_chars is counted anew where it was set."""
+    """Documents without lines that repeat an earlier one, however short; n_chars is counted anew where it was set."""
     columns = docs.columns
-    result = line_dedup.without_repeated_lines(docs)
+    result = line_dedup.without_repeated_lines(docs, min_exact=1)
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
         count = F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars"))

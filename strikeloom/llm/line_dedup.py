@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from strikeloom.sinks.shared import stored
 
 MAX_EDITS = 1
-# Lines shorter than this stay: one edit makes another word of them, and they repeat by chance.
+# Lines shorter than this are not compared within an edit, which makes another word of them. Their
+# exact repeats stay as well where no other minimum is given.
 MIN_CHARS = 20
 # An edit is narrowed down to a stretch of at most twice this length before variants are made.
 STEP = 16
@@ -146,12 +147,16 @@ def _near_lines(candidates: DataFrame) -> DataFrame:
 
 
 def dropped_lines(
-    docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS
+    docs: DataFrame,
+    max_edits: int = MAX_EDITS,
+    min_chars: int = MIN_CHARS,
+    min_exact: int | None = None,
 ) -> DataFrame:
     """Rows (doc_id, line_no) of the lines that repeat an earlier one, by document id and place."""
     if max_edits not in (0, 1):
         raise ValueError("lines are compared exactly or within one edit")
-    lines = _identified(_lines(docs, min_chars)).select("h1", "h2", "doc_id", "line_no")
+    shortest = min_chars if min_exact is None else max(1, min_exact)
+    lines = _identified(_lines(docs, shortest)).select("h1", "h2", "doc_id", "line_no")
     firsts = stored(
         lines.groupBy("h1", "h2").agg(
             F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("n")
@@ -167,21 +172,25 @@ def dropped_lines(
 
 
 def without_repeated_lines(
-    docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS
+    docs: DataFrame,
+    max_edits: int = MAX_EDITS,
+    min_chars: int = MIN_CHARS,
+    min_exact: int | None = None,
 ) -> DataFrame:
     """``docs`` with lines removed from ``text`` that equal an earlier line or are one edit from it.
 
     A line's place is (doc_id, number in the text); white space at its ends does not count. Of
     equal lines the first stays; a line within ``max_edits`` edits of an earlier, different line
     goes with all its copies. Lines are judged on the input, also against lines that go
-    themselves. Lines under ``min_chars`` characters stay, and so do blank ones.
+    themselves. Lines under ``min_chars`` characters are near no other; their exact repeats go from
+    ``min_exact`` characters on (``min_chars`` where None). Blank lines stay.
 
     All columns stay; n_lines and n_removed are added (a column of that name is replaced). NULL
     texts stay NULL with zero lines; empty texts have one line. Rows with a NULL id are left as
     they are and repeat nothing. Rows repeated with the same id are one document, so they keep and
     lose the same places. An empty table gives an empty result.
     """
-    drops = stored(dropped_lines(docs, max_edits, min_chars))
+    drops = stored(dropped_lines(docs, max_edits, min_chars, min_exact))
     listed = drops.groupBy(F.col("doc_id").alias("_dropped_id")).agg(
         F.collect_set("line_no").alias("_dropped")
     )

@@ -38,3 +38,19 @@ def test_pipeline_stages(spark, tmp_path):
     words = sum(row.n_tokens for row in docs.collect())
     last = spark.read.parquet(f"{tmp_path}/{len(corpus_pipeline.STAGES) - 2}")
     assert words == sum(len(row.text.split()) for row in last.collect())
+
+
+def test_pipeline_removes_exact_repeats_of_every_length(spark):
+    texts = ["short\n\nx\n  short\nother", "x\nnew\n\nshort \nshore", None, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    seen, kept = set(), {}
+    for k, text in enumerate(texts):
+        lines = []
+        for line in (text or "").split("\n"):
+            if line.strip() and line.strip() in seen:
+                continue
+            seen.add(line.strip())
+            lines.append(line)
+        kept[k] = None if text is None else "\n".join(lines)
+    rows = corpus_pipeline.line_deduplication(spark, frame, SF_DIR).collect()
+    assert {r.doc_id: r.text for r in rows} == kept

@@ -7,13 +7,16 @@ from strikeloom.llm import (
     compact_windows,
     decontamination,
     kneser_ney,
+    language_cnn,
     line_dedup,
     packing,
     pii,
     quality_rules,
     simhash,
     suffix_dedup,
+    vector_codes,
     warc,
+    whitening,
 )
 from strikeloom.llm.sql import SQL
 from strikeloom.sinks.shared import stored
@@ -101,6 +104,28 @@ def op10_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact_windows.near_passages(documents(spark, sf_dir))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    rows, codebooks = vector_codes.compressed(vectors)
+    digits = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return rows.select(
+        "vec_id",
+        digits.alias("code"),
+        "error",
+        "label_error",
+        F.lit(vector_codes.digest(codebooks)).alias("codebooks_sha256"),
+    )
+
+
+def op12_language_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_cnn.predicted(documents(spark, sf_dir))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return rows
+
+
 __all__ = ["QUERIES", "SQL"]
 
 QUERIES = {
@@ -116,5 +141,8 @@ QUERIES = {
         op8_packing,
         op9_warc,
         op10_compact_windows,
+        op11_vector_codes,
+        op12_language_cnn,
+        op13_whitening,
     )
 }

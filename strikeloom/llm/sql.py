@@ -121,3 +121,55 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
        CASE WHEN page_id = answer THEN NULL ELSE answer END AS refers_to
 FROM letters JOIN answers USING (hex)
 """
+
+
+def _vector_codes(rounds: int) -> str:
+    """Codebooks as relations (p, e, v), each made from the one before by an assignment of all parts."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+assigned{k} AS (
+    SELECT r, p, any_value(a.v) AS v, min({{'d': d, 'e': e}}) AS best FROM (
+        SELECT r, p, x.v, e, CAST(list_sum(list_transform(range(1, len(x.v) + 1),
+            lambda i: (x.v[i] - b.v[i]) * (x.v[i] - b.v[i]))) AS BIGINT) AS d
+        FROM parts x JOIN book{k} b USING (p)
+    ) a GROUP BY r, p
+)""")
+        if k < rounds:
+            steps.append(f"""
+means{k} AS (
+    SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (
+        SELECT p, best.e AS e, i, CAST(sum(v[i]) AS BIGINT) AS s, count(*) AS n
+        FROM (SELECT *, unnest(range(1, len(v) + 1)) AS i FROM assigned{k}) GROUP BY p, best.e, i
+    ) GROUP BY p, e
+)""")
+            steps.append(f"""
+book{k + 1} AS (
+    SELECT p, e, coalesce(m.v, b.v) AS v FROM book{k} b LEFT JOIN means{k} m USING (p, e)
+)""")
+    return f"""
+WITH whole AS (
+    SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), kept AS (
+    SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, x) AS r FROM whole
+), parts AS (
+    SELECT r, p, x[p * (len(x) // 16) + 1 : (p + 1) * (len(x) // 16)] AS v
+    FROM (SELECT r, x, unnest(range(16)) AS p FROM kept)
+), book0 AS (SELECT p, r - 1 AS e, v FROM parts WHERE r <= 64),{",".join(steps)},
+coded AS (
+    SELECT r, string_agg(lpad(printf('%x', best.e), 2, '0'), '' ORDER BY p) AS code,
+           CAST(sum(best.d) AS BIGINT) AS error
+    FROM assigned{rounds} GROUP BY r
+), listed AS (
+    SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, i)) AS digest
+    FROM (SELECT p, e, unnest(v) AS c, unnest(range(len(v))) AS i FROM book{rounds})
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       digest AS codebooks_sha256
+FROM kept JOIN coded USING (r), listed
+"""
+
+
+SQL["op11_vector_codes"] = _vector_codes(rounds=2)

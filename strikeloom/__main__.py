@@ -1,6 +1,7 @@
-"""Command line: ``python -m strikeloom --mode dataload|strategy|stream|compact ...``."""
+"""Command line: ``python -m strikeloom --mode dataload|strategy|stream|compact|repair|verify ...``."""
 
 import argparse
+import json
 import logging
 import sys
 
@@ -9,6 +10,7 @@ from pyspark.sql import SparkSession
 from strikeloom import jobs
 from strikeloom.operators.policies import POLICIES
 from strikeloom.plans.registry import STRATEGIES
+from strikeloom.schema import MERGED, PART, UNDERLYINGS
 from strikeloom.sinks.layers import SILVER_ORDER, gold_table, silver_table
 from strikeloom.sinks.maintenance import compact
 from strikeloom.streaming.intake import FILES_PER_BATCH, run_intake
@@ -16,7 +18,7 @@ from strikeloom.streaming.intake import FILES_PER_BATCH, run_intake
 
 def parse(arguments: list[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="strikeloom", description=__doc__)
-    modes = ["dataload", "strategy", "stream", "compact"]
+    modes = ["dataload", "strategy", "stream", "compact", "repair", "verify"]
     parser.add_argument("--mode", required=True, choices=modes)
     parser.add_argument("--database", default="options")
     parser.add_argument("--path", help="landed quote files (dataload, stream)")
@@ -30,6 +32,15 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     )
     parser.add_argument("--regroup", action="store_true", help="for many small files")
     parser.add_argument("--policies", nargs="*", default=[], choices=sorted(POLICIES))
+    parser.add_argument(
+        "--underlyings",
+        type=json.loads,
+        default=UNDERLYINGS,
+        help='option root to underlying, as JSON such as {"SPX": "SPY"}',
+    )
+    parser.add_argument(
+        "--shared-scan", action="store_true", help="strategies read silver once (strategy)"
+    )
     parser.add_argument("--strategies", nargs="*", help=f"any of {', '.join(STRATEGIES)}")
     parser.add_argument("--checkpoint", help="progress of the file stream")
     parser.add_argument("--files-per-batch", type=int, default=FILES_PER_BATCH)
@@ -43,7 +54,7 @@ def parse(arguments: list[str]) -> argparse.Namespace:
 
 
 def run(spark: SparkSession, options: argparse.Namespace) -> bool:
-    """Run one job; False if a strategy failed."""
+    """Run one job; False if a strategy failed or stored layers are not what was loaded."""
     if options.mode == "dataload":
         jobs.load(
             spark,
@@ -52,6 +63,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
             options.bootstrap,
             options.format,
             options.policies,
+            options.underlyings,
             regroup=options.regroup,
             new_versions=options.new_versions,
             allow_empty=options.allow_empty,
@@ -65,15 +77,23 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
             options.files_per_batch,
             options.archive,
             tuple(options.policies),
+            options.underlyings,
             regroup=options.regroup,
         )
     elif options.mode == "compact":
-        compact(spark, silver_table(options.database), "trade_date", SILVER_ORDER)
+        silver = silver_table(options.database)
+        compact(spark, silver, "trade_date", SILVER_ORDER, same={PART: MERGED})
         for name in STRATEGIES:
             if jobs.has_gold(spark, options.database, name):
                 compact(spark, gold_table(options.database, name), "trade_date")
+    elif options.mode == "repair":
+        jobs.repair(spark, options.database, options.policies, options.underlyings, options.regroup)
+    elif options.mode == "verify":
+        return jobs.verify(spark, options.database)
     else:
-        outcome = jobs.run_strategies(spark, options.database, options.strategies or None)
+        outcome = jobs.run_strategies(
+            spark, options.database, options.strategies or None, shared_scan=options.shared_scan
+        )
         for name, succeeded in outcome.items():
             if succeeded and jobs.has_gold(spark, options.database, name):
                 jobs.gold_counts(spark, options.database, [name]).show()

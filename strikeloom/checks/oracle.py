@@ -155,6 +155,33 @@ SIGNAL_COLUMNS = (
     "symbol, trade_date, expiry_date, strike_price, mid_price, option_type, signal, strategy_name"
 )
 
+# A quote's text, hashed once; both layers hold the same quotes.
+DIGESTS = """, hashed AS (
+    SELECT trade_date, md5(concat_ws(chr(31),
+        {texts})) AS h
+    FROM parsed
+), halves AS (
+    SELECT trade_date, cast('0x' || substr(h, 1, 15) AS bigint) AS a,
+           cast('0x' || substr(h, 16, 15) AS bigint) AS b
+    FROM hashed
+), kept AS (
+    SELECT trade_date, count(*) AS row_count, bit_xor(a) AS hash_xor,
+           cast(sum(a) AS varchar) AS hash_sum, cast(sum(b) AS varchar) AS other_sum
+    FROM halves GROUP BY trade_date
+)
+SELECT 'bronze' AS layer, * FROM kept UNION ALL SELECT 'silver', * FROM kept
+""".format(
+    texts=",\n        ".join(
+        f"coalesce(cast({value} AS varchar), chr(30))"
+        for value in (
+            "ts_recv_epoch * 1000000", "ts_event_epoch * 1000000", "rtype", "publisher_id",
+            "instrument_id", "side", "cast(price AS decimal(20,6))", "size", "flags",
+            "cast(bid_px_00 AS decimal(20,6))", "cast(ask_px_00 AS decimal(20,6))", "bid_sz_00",
+            "ask_sz_00", "bid_pb_00", "ask_pb_00", "symbol",
+        )
+    )
+)
+
 SQL = {
     "iron_condor": RECENT_CONDORS + "SELECT * FROM condor",
     "iron_condor_all": ALL_CONDORS + "SELECT * FROM condor",
@@ -229,6 +256,8 @@ SQL = {
     UNION ALL SELECT 'LaymanQQQStrategy', true, count(*) FROM cheap
     UNION ALL SELECT 'IronCondorStrategy', true, count(*) FROM condor
     UNION ALL SELECT 'FailingStrategy', false, NULL""",
+    "coverage_maintained": QUOTES + COVERAGE + " ORDER BY trade_date DESC",
+    "layer_digests": QUOTES + DIGESTS,
     "option_type_counts": QUOTES
     + "SELECT option_type, count(*) AS row_count FROM silver GROUP BY option_type",
     "distinct_underlying": QUOTES + "SELECT DISTINCT underlying FROM silver",
@@ -285,11 +314,15 @@ SQL = {
     "parquet_reordered": QUOTES + SILVER_ROWS,
     "bootstrap_twice": QUOTES + SILVER_ROWS,
     "stream_intake": QUOTES + SILVER_ROWS,
+    "stream_many_files_per_date": QUOTES + SILVER_ROWS,
+    "load_resumed": QUOTES + SILVER_ROWS,
     "gold_roundtrip": ALL_CONDORS + "SELECT * FROM condor",
     "materialized_slice": QUOTES
     + CONTRACT_ROWS.format(
         rows="silver WHERE underlying = 'SPY' AND option_type = 'CALL' AND mid_price < 5"
     ),
     "compact_preserves_rows": QUOTES + SILVER_ROWS,
+    "compact_stored_silver": QUOTES + SILVER_ROWS,
     "ddl_roundtrip": QUOTES + COVERAGE,
 }
+SQL["strategies_shared_scan"] = SQL["strategies_run"]

@@ -4,9 +4,11 @@ Decimals are given as double and instants as epoch seconds, so that engines can
 """
 
 from collections.abc import Callable
-from functools import wraps
+from contextlib import suppress
+from functools import partial, wraps
 
 import pandas as pd
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +21,16 @@ from strikeloom.operators import chains, lookback, policies, reports
 from strikeloom.operators.enrich import enrich, underlying_of, with_underlying_from
 from strikeloom.plans import condor, custom, threshold
 from strikeloom.plans.registry import STRATEGIES, Strategy
-from strikeloom.schema import CHAIN_KEY, CONDOR_COLUMNS, QUOTE_SCHEMA, REJECTED, UNDERLYINGS
-from strikeloom.sinks import maintenance
+from strikeloom.schema import (
+    CHAIN_KEY,
+    CONDOR_COLUMNS,
+    MERGED,
+    PART,
+    QUOTE_SCHEMA,
+    REJECTED,
+    UNDERLYINGS,
+)
+from strikeloom.sinks import journal, maintenance, statistics
 from strikeloom.sinks.layers import (
     SILVER_ORDER,
     bronze_table,
@@ -28,10 +38,11 @@ from strikeloom.sinks.layers import (
     read_silver,
     rejects_table,
     replace_gold,
+    rules_of,
     silver_table,
 )
 from strikeloom.sources import bars, files
-from strikeloom.streaming.intake import run_intake
+from strikeloom.streaming.intake import absorb, run_intake
 
 # Quote columns compared as they are.
 PASSED = tuple(
@@ -248,6 +259,77 @@ def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_rows(read_silver(spark, silver_table(database)))
 
 
+@once
+def many_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of quote CSV files, eight or more for each trade date."""
+    minute = F.hour("ts_recv") * 60 + F.minute("ts_recv")
+    split = F.regexp_replace("file_name", ".csv$", "")
+    name = F.concat(split, F.lit(".part"), (minute % 8).cast("string"), F.lit(".csv"))
+    return land_quotes(quotes(spark, sf_dir).withColumn("file_name", name), scratch_folder(spark))
+
+
+def stream_many_files_per_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many files of each date dealt over the stream's batches; each batch adds its own files' rows."""
+    database = scratch_database(spark)
+    run_intake(spark, many_files(spark, sf_dir), database, scratch_folder(spark), files_per_batch=64)
+    return silver_rows(read_silver(spark, silver_table(database)))
+
+
+def _policy_that_fails(frame: DataFrame) -> DataFrame:
+    return frame.where(F.assert_true(F.col("symbol").isNull()).isNull())
+
+
+def load_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that broke off between the layers, completed by loading another file."""
+    database = scratch_database(spark)
+    paths = landed_files(spark, sf_dir)
+    jobs.load(spark, paths[:-2], database, bootstrap=True)
+    breaking = partial(enrich, policies=[_policy_that_fails])
+    with suppress(SparkRuntimeException):
+        absorb(files.scan_quote_csv(spark, paths[-2]), database, breaking, rules_of((), UNDERLYINGS))
+    if not journal.broken_off(spark, database)[0]:
+        raise RuntimeError("the load was to break off")
+    jobs.load(spark, paths[-1], database)
+    return silver_rows(read_silver(spark, silver_table(database)))
+
+
+@once
+def counted(spark: SparkSession, sf_dir: str) -> str:
+    """Database whose statistics are kept through a late file, a reprocess and a merging load."""
+    database = scratch_database(spark)
+    paths = landed_files(spark, sf_dir)
+    jobs.load(spark, paths[:-2], database, bootstrap=True)
+    statistics.keep(spark, database)
+    jobs.load(spark, paths[-1], database)
+    jobs.load(spark, paths[:2], database)
+    jobs.load(spark, paths[-2], database, regroup=True)
+    return database
+
+
+def coverage_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return statistics.coverage(spark, counted(spark, sf_dir))
+
+
+def layer_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept digests of both layers, after a look that they are those of the stored rows."""
+    database = counted(spark, sf_dir)
+    for found in (statistics.changed_since(spark, database), statistics.unreconciled(spark, database)):
+        if not found.isEmpty():
+            raise RuntimeError(f"layers that are not what was loaded: {found.take(5)}")
+    kept = statistics.layer_digests(spark, database)
+    return kept.withColumns({name: F.col(name).cast("string") for name in ("hash_sum", "other_sum")})
+
+
+def strategies_shared_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All strategies and a failing one on one scan of silver: outcome and stored rows of each."""
+    database = loaded(spark, sf_dir)
+    registry = {**STRATEGIES, "FailingStrategy": Strategy(threshold.INPUT, _failing)}
+    outcome = jobs.run_strategies(spark, database, list(registry), registry, shared_scan=True)
+    succeeded = [name for name, ok in outcome.items() if ok]
+    outcomes = spark.createDataFrame(list(outcome.items()), "layer string, succeeded boolean")
+    return outcomes.join(jobs.gold_counts(spark, database, succeeded), "layer", "left")
+
+
 def gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = loaded(spark, sf_dir)
     table = gold_table(database, "roundtrip")
@@ -272,6 +354,19 @@ def compact_preserves_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_rows(spark.table(table))
 
 
+def compact_stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many files a date merged in stored silver, one of them loaded again after that."""
+    database, folder = scratch_database(spark), many_files(spark, sf_dir)
+    jobs.load(spark, folder, database, bootstrap=True)
+    silver_of = silver_table(database)
+    merged = maintenance.compact(spark, silver_of, "trade_date", SILVER_ORDER, same={PART: MERGED})
+    if not merged or maintenance.compact(spark, silver_of, "trade_date", SILVER_ORDER, same={PART: MERGED}):
+        raise RuntimeError("every date was to be merged once")
+    again = sorted(files.read_quote_csv(spark, folder).inputFiles())[:3]
+    jobs.load(spark, again, database)
+    return silver_rows(read_silver(spark, silver_of))
+
+
 def ddl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create a table, insert the quotes per date, check that it is listed, and drop another."""
     database = scratch_database(spark)
@@ -581,9 +676,15 @@ QUERIES = {
         parquet_reordered,
         bootstrap_twice,
         stream_intake,
+        stream_many_files_per_date,
+        load_resumed,
+        coverage_maintained,
+        layer_digests,
+        strategies_shared_scan,
         gold_roundtrip,
         materialized_slice,
         compact_preserves_rows,
+        compact_stored_silver,
         ddl_roundtrip,
     )
 } | {"bars_normalised": stored_bars}

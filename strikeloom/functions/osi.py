@@ -4,6 +4,8 @@ Layout: root padded to 6, expiry as yymmdd, C or P, strike times 1000 in 8 digit
 gives NULL parts rather than a failed job, also in ANSI mode.
 """
 
+import re
+from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -52,3 +54,12 @@ def mid_price(bid: Column, ask: Column) -> Column:
 def trade_date(file_name: Column) -> Column:
     """Date in the first run of eight digits of the file name."""
     return _iso_date(F.regexp_extract(file_name, r"(\d{8})", 1), 5)
+
+
+def trade_date_of(file_name: str) -> str | None:
+    """The same for one name on the driver, as ISO text."""
+    digits = re.search(r"[0-9]{8}", file_name)
+    try:
+        return date(int(digits[0][:4]), int(digits[0][4:6]), int(digits[0][6:])).isoformat() if digits else None
+    except ValueError:
+        return None

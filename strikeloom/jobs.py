@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import partial
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from strikeloom.operators.enrich import enrich
@@ -15,20 +15,11 @@ from strikeloom.operators.policies import named
 from strikeloom.operators.reports import head, layer_counts
 from strikeloom.plans.registry import ACTIVE, STRATEGIES, Strategy
 from strikeloom.schema import UNDERLYINGS
+from strikeloom.sinks import statistics
 from strikeloom.sinks.catalog import create_database
-from strikeloom.sinks.layers import (
-    bronze_table,
-    gold_table,
-    keep_rules,
-    rebuild_silver,
-    rejects_table,
-    replace_bronze,
-    replace_gold,
-    rules_of,
-    silver_table,
-)
+from strikeloom.sinks.layers import gold_table, rejects_table, replace_gold, rules_of, silver_table
 from strikeloom.sources.files import READERS
-from strikeloom.streaming.intake import absorb
+from strikeloom.streaming.intake import absorb, complete_loads, replace_all
 
 logger = logging.getLogger(__name__)
 
@@ -52,10 +43,12 @@ def load(
 
     ``bootstrap`` makes the files the whole content of both tables; with no files at all that would
     wipe them, so it is refused unless ``allow_empty`` is set. Otherwise files are added, or
-    replace what was loaded from the same path, and only their trade dates are enriched again;
-    naming files that were loaded before reprocesses them. A file of the same name from another
+    replace what was loaded from the same path, and only these files are enriched again; naming
+    files that were loaded before reprocesses them. A file of the same name from another
     folder is a file of its own, unless ``new_versions`` says that it replaces the others.
     Policies and mapping are kept with silver; loads with other ones are refused until a bootstrap.
+    A load that breaks off is on record, and the next one completes it. Loads of one database run
+    one after another.
     Set ``regroup`` for many small files.
     """
     policies = tuple(policies)
@@ -66,10 +59,7 @@ def load(
     if bootstrap:
         if not allow_empty and not quotes.inputFiles():
             raise ValueError(f"no files in {path}: a bootstrap would empty database {database}")
-        bronze, silver = bronze_table(database), silver_table(database)
-        rejected = replace_bronze(quotes, bronze, rejects_table(database))
-        rebuild_silver(spark, bronze, silver, enrichment, regroup)
-        keep_rules(spark, silver, rules)
+        rejected = replace_all(quotes, database, enrichment, rules, regroup)
     else:
         rejected = absorb(quotes, database, enrichment, rules, regroup, new_versions)
     if rejected:
@@ -77,10 +67,42 @@ def load(
     return rejected
 
 
+def repair(
+    spark: SparkSession,
+    database: str,
+    policies: Iterable[str] = (),
+    underlyings: Mapping[str, str] = UNDERLYINGS,
+    regroup: bool = False,
+) -> int:
+    """Complete loads that broke off between the layers, as the next load would; how many there were."""
+    policies = tuple(policies)
+    enrichment = partial(enrich, underlyings=underlyings, policies=named(policies))
+    return complete_loads(spark, database, enrichment, rules_of(policies, underlyings), regroup)
+
+
+def verify(spark: SparkSession, database: str) -> bool:
+    """Whether the layers hold what was loaded; what differs is shown.
+
+    The first call only counts both layers and keeps that; loads keep it up to date from then on.
+    """
+    if not statistics.are_kept(spark, database):
+        statistics.keep(spark, database)
+    found = [statistics.unreconciled(spark, database), statistics.changed_since(spark, database)]
+    differing = [each for each in found if not each.isEmpty()]
+    for each in differing:
+        each.show(truncate=False)
+    return not differing
+
+
 def run_strategy(
-    spark: SparkSession, database: str, name: str, strategy: Strategy, anchor: date
+    spark: SparkSession,
+    database: str,
+    name: str,
+    strategy: Strategy,
+    anchor: date,
+    silver: DataFrame | None = None,
 ) -> None:
-    silver = spark.table(silver_table(database))
+    silver = spark.table(silver_table(database)) if silver is None else silver
     window = lookback(silver, strategy.lookback_days, anchor)
     signals = strategy.signals(window.select(*strategy.columns))
     if strategy.regroup:
@@ -88,37 +110,78 @@ def run_strategy(
     replace_gold(signals, gold_table(database, name))
 
 
+def shared_silver(
+    spark: SparkSession, database: str, strategies: Iterable[Strategy], anchor: date
+) -> DataFrame:
+    """What any of the strategies reads of silver: the widest lookback and all columns they name.
+
+    Kept by the executors in memory or on their disks. Tasks that ask for a part which another one
+    is reading wait for it, so strategies that run side by side scan silver once; what a lost
+    executor held is read again.
+    """
+    strategies = list(strategies)
+    columns = dict.fromkeys(column for each in strategies for column in ("trade_date", *each.columns))
+    days = max(each.lookback_days for each in strategies)
+    window = lookback(spark.table(silver_table(database)), days, anchor)
+    return window.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def strategy_tag(database: str, name: str) -> str:
+    """The tag that all Spark jobs of one strategy's run carry."""
+    return f"strikeloom-{database}-{name}"
+
+
+def cancel_strategy(spark: SparkSession, database: str, name: str) -> None:
+    """Stop the jobs of one running strategy; it counts as failed and leaves the others alone."""
+    spark.sparkContext.cancelJobsWithTag(strategy_tag(database, name))
+
+
 def run_strategies(
     spark: SparkSession,
     database: str,
     names: Iterable[str] | None = None,
     registry: Mapping[str, Strategy] = STRATEGIES,
+    shared_scan: bool = False,
 ) -> dict[str, bool]:
     """Run strategies side by side and tell for each whether it succeeded.
 
     ``names`` may list any registered strategy; without it the active ones run. Each is submitted
-    from its own thread in its own scheduler pool, so one that fails leaves the others alone. With
-    no dated silver rows there is nothing to do, which counts as success and stores nothing.
+    from its own thread in its own scheduler pool with its own job tag, so one that fails or is
+    cancelled leaves the others alone. With no dated silver rows there is nothing to do, which
+    counts as success and stores nothing.
+
+    ``shared_scan`` reads silver once for all of them and keeps that in the executors until they
+    are done: worth it where storage is slow or far and strategies overlap in what they read.
+    Otherwise each one scans its own columns and dates.
     """
     names = list(dict.fromkeys(ACTIVE if names is None else names))
     anchor = newest_stored_date(spark, silver_table(database))
+    known = [registry[name] for name in names if name in registry]
+    shared = None
+    if shared_scan and anchor is not None and len(known) > 1:
+        shared = shared_silver(spark, database, known, anchor)
 
     def attempt(name: str) -> bool:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        spark.sparkContext.addJobTag(strategy_tag(database, name))
         try:
             strategy = registry[name]
             if anchor is None:
                 logger.warning("%s: silver has no dated rows, nothing to do", name)
             else:
-                run_strategy(spark, database, name, strategy, anchor)
+                run_strategy(spark, database, name, strategy, anchor, shared)
             return True
         except Exception:
             logger.exception("strategy %s failed", name)
             return False
 
-    with ThreadPoolExecutor(max(1, len(names))) as threads:
-        runs = [threads.submit(inheritable_thread_target(spark)(attempt), name) for name in names]
-        return {name: run.result() for name, run in zip(names, runs)}
+    try:
+        with ThreadPoolExecutor(max(1, len(names))) as threads:
+            runs = [threads.submit(inheritable_thread_target(spark)(attempt), name) for name in names]
+            return {name: run.result() for name, run in zip(names, runs)}
+    finally:
+        if shared is not None:
+            shared.unpersist()
 
 
 def has_gold(spark: SparkSession, database: str, name: str) -> bool:

@@ -46,18 +46,19 @@ def enrich(
 ) -> DataFrame:
     """Silver rows of ``bronze``; further bronze columns pass through unchanged.
 
-    A single projection, so it pipelines with the scan; ``policies`` filter the result.
+    A single projection, so it pipelines with the scan; ``policies`` filter the result. Quotes that
+    are stored by ``trade_date`` keep it; others get it from their file's name.
     """
     symbol, file_name = F.col("symbol"), F.col("file_name")
     derived = {
         "underlying": underlying_of(osi.root(symbol), underlyings),
-        "trade_date": osi.trade_date(file_name),
+        "trade_date": F.col("trade_date") if "trade_date" in bronze.columns else osi.trade_date(file_name),
         "expiry_date": osi.expiry_date(symbol),
         "option_type": osi.option_type(symbol),
         "strike_price": osi.strike_price(symbol),
         "mid_price": osi.mid_price(F.col("bid_px_00"), F.col("ask_px_00")),
     }
-    passed = [name for name in bronze.columns if name not in ("symbol", "file_name")]
+    passed = [name for name in bronze.columns if name not in ("symbol", "trade_date", "file_name")]
     layout = (*SILVER_HEAD, *passed, *SILVER_TAIL)
     silver = bronze.select(
         *[derived[name].alias(name) if name in derived else F.col(name) for name in layout]

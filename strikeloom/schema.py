@@ -87,7 +87,15 @@ UNDERLYINGS = {
     "VIX": "VXX",
 }
 
+# Columns that tell where stored rows belong: the file a row came from, and the part of a date in
+# silver that holds it. A part is one file's rows, or rows of several files once they are merged.
+SOURCE = "source"
+PART = "part"
+MERGED = "merged"
+
 # Table names of the two loaded layers. The rejects are lines kept out of both.
 BRONZE = "bronze_options_chain"
 REJECTS = "bronze_rejects"
 SILVER = "enriched_options_silver"
+JOURNAL = "load_journal"
+STATISTICS = "layer_statistics"

@@ -18,25 +18,41 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
-def partition_keys(spark: SparkSession, table: str) -> list[tuple[str | None, ...]]:
+# Partitions of so many first keys are asked for one by one; for more of them all are listed.
+ASKED_ONE_BY_ONE = 20
+
+
+def partition_keys(
+    spark: SparkSession, table: str, first: Iterable[str | None] | None = None
+) -> list[tuple[str | None, ...]]:
     """Values of the partition columns of every partition, None for NULL.
 
-    Read from the catalog: one short string per partition, no data files.
+    ``first`` narrows them to these values of the first partition column. Read from the catalog:
+    one short string per partition, no data files.
     """
+    wanted = None if first is None else set(first)
 
     def values(partition: str) -> tuple[str | None, ...]:
         texts = [unquote(part.split("=", 1)[1]) for part in partition.split("/")]
         return tuple(None if text == NULL_PARTITION else text for text in texts)
 
-    return [values(row.partition) for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    def listed(condition: str = "") -> list[tuple[str | None, ...]]:
+        return [values(row.partition) for row in spark.sql(f"SHOW PARTITIONS {table}{condition}").collect()]
+
+    if wanted is None:
+        return listed()
+    if None in wanted or len(wanted) > ASKED_ONE_BY_ONE:
+        return [key for key in listed() if key[0] in wanted]
+    column = next(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
+    return [key for value in wanted for key in listed(f" PARTITION ({column} = {sql_literal(value)})")]
 
 
 def partition_values(spark: SparkSession, table: str) -> list[str]:
-    """Values of the only partition column; the NULL partition is left out."""
-    return [value for (value,) in partition_keys(spark, table) if value is not None]
+    """Distinct values of the first partition column; the NULL one is left out."""
+    return list(dict.fromkeys(key[0] for key in partition_keys(spark, table) if key[0] is not None))
 
 
-def _literal(value: str | None) -> str:
+def sql_literal(value: str | None) -> str:
     if value is None:
         return "NULL"
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -50,7 +66,7 @@ def drop_partitions(
 ) -> None:
     """Drop the partitions of ``keys`` that exist, many in one statement."""
     specs = [
-        f"PARTITION ({', '.join(f'{name} = {_literal(v)}' for name, v in zip(columns, key))})"
+        f"PARTITION ({', '.join(f'{name} = {sql_literal(v)}' for name, v in zip(columns, key))})"
         for key in keys
     ]
     for start in range(0, len(specs), SPECS_PER_STATEMENT):
@@ -75,5 +91,5 @@ def table_properties(spark: SparkSession, table: str) -> dict[str, str]:
 
 
 def set_table_properties(spark: SparkSession, table: str, properties: Mapping[str, str]) -> None:
-    pairs = ", ".join(f"{_literal(key)} = {_literal(value)}" for key, value in properties.items())
+    pairs = ", ".join(f"{sql_literal(key)} = {sql_literal(value)}" for key, value in properties.items())
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")

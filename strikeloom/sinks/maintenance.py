@@ -1,5 +1,6 @@
 """Upkeep of stored tables: slices and file sizes."""
 
+from collections.abc import Mapping
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -7,6 +8,8 @@ from pyspark.sql import functions as F
 
 from strikeloom.sinks.catalog import (
     NULL_PARTITION,
+    drop_partitions,
+    partition_keys,
     replace_written_partitions_only,
     set_table_properties,
     table_properties,
@@ -93,6 +96,10 @@ def _take_over(
 ) -> None:
     copied = _grouped(spark.table(_copy_of(table)), column, order, wanted)
     replace_written_partitions_only(spark, table)
+    columns = tuple(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
+    if columns != (column,):
+        # The copy may hold the rows in other parts of their values.
+        drop_partitions(spark, table, columns, partition_keys(spark, table, wanted))
     copied.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
     spark.sql(f"DROP TABLE {_copy_of(table)}")
 
@@ -117,13 +124,15 @@ def compact(
     column: str,
     order: tuple[str, ...] = (),
     target_bytes: int = TARGET_FILE_BYTES,
+    same: Mapping[str, str] | None = None,
 ) -> list[str | None]:
     """Rewrite partitions that hold more files than their bytes call for; returns their values.
 
     The rows are first written to a table beside, with as many files as the stored bytes call for.
     Where rows got smaller by that, the copy is grouped again, so a second run finds nothing to do.
     Only a copy with the same row counts replaces the partitions, and it is dropped after that: at
-    any moment one of the two is whole. A complete copy left by a broken-off run is refused; see
+    any moment one of the two is whole. ``column`` is the table's first partition column; ``same``
+    gives the value that further ones get, so that the parts of a value become one. A complete copy left by a broken-off run is refused; see
     ``finish_compaction``. No other job may write to these partitions meanwhile.
     """
     copy = _copy_of(table)
@@ -133,6 +142,7 @@ def compact(
     if not wanted:
         return []
     rows = _partitions(spark.table(table), column, list(wanted))
+    rows = rows.withColumns({name: F.lit(value) for name, value in (same or {}).items()})
     more = wanted
     while more:
         _grouped(rows, column, order, wanted).write.mode("overwrite").partitionBy(

@@ -1,11 +1,10 @@
 """Writes to partitioned tables."""
 
-import json
-
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strikeloom.sinks.catalog import (
+    NULL_PARTITION,
     OVERWRITE_OPTION,
     drop_partitions,
     partition_keys,
@@ -13,6 +12,8 @@ from strikeloom.sinks.catalog import (
 )
 
 Keys = set[tuple[str | None, ...]]
+# Stands between the values of a partition's key where they are one text; in no file name.
+BETWEEN = "\x1f"
 
 
 def _laid_out(frame: DataFrame, columns: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
@@ -51,9 +52,13 @@ def _by_name(frame: DataFrame, table: str) -> DataFrame:
 
 
 def _written(columns: tuple[str, ...]) -> Column:
-    """Metric that tells which partitions a write met: one JSON list per partition."""
-    key = F.to_json(F.array(*[F.col(name).cast("string") for name in columns]))
-    return F.collect_set(key).alias("written")
+    """Metric that tells which partitions a write met: one text per distinct key."""
+    texts = [F.coalesce(F.col(name).cast("string"), F.lit(NULL_PARTITION)) for name in columns]
+    return F.collect_set(F.concat_ws(BETWEEN, *texts)).alias("written")
+
+
+def _values(key: str) -> tuple[str | None, ...]:
+    return tuple(None if text == NULL_PARTITION else text for text in key.split(BETWEEN))
 
 
 def replace_partitions(
@@ -76,7 +81,7 @@ def replace_partitions(
         rows.write.mode("overwrite").insertInto(table)
     else:
         _create(_laid_out(rows, columns, order), table, columns)
-    return {tuple(json.loads(key)) for key in observation.get["written"]}
+    return {_values(key) for key in observation.get["written"]}
 
 
 def _recreate(

@@ -1,6 +1,9 @@
+from types import SimpleNamespace
+
 from __spark_entry__ import entry
 from strikeloom.checks.scratch import scratch_folder
 from strikeloom.schema import CONDOR_COLUMNS
+from strikeloom.sinks.shared import shared_folder
 
 
 def test_entry_returns_condors(spark):
@@ -15,12 +18,14 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert scratch_folder(spark) != scratch_folder(spark)
 
 
-def test_scratch_without_shared_folder_lies_in_the_warehouse(spark):
-    shared = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.unset("spark.checkpoint.dir")
-    try:
-        if spark.conf.get("spark.checkpoint.dir", None) is None:
-            warehouse = spark.conf.get("spark.sql.warehouse.dir")
-            assert scratch_folder(spark).startswith(warehouse.rstrip("/"))
-    finally:
-        spark.conf.set("spark.checkpoint.dir", shared)
+class Settings(dict):
+    """A session's settings, to try one that a running session does not let go of."""
+
+    def get(self, key, default=None):
+        return super().get(key, default)
+
+
+def test_scratch_without_shared_folder_lies_in_the_warehouse():
+    session = SimpleNamespace(conf=Settings({"spark.sql.warehouse.dir": "file:/warehouse/"}))
+    for folder in (scratch_folder(session), shared_folder(session)):
+        assert folder.startswith("file:/warehouse/_")

@@ -9,14 +9,13 @@ from strikeloom import jobs
 from strikeloom.checks.lineitem_quotes import quotes_from_lineitem
 from strikeloom.checks.queries import landed
 from strikeloom.checks.scratch import scratch_database
-from strikeloom.functions import osi
 from strikeloom.operators import chains, reports
 from strikeloom.operators.enrich import enrich
 from strikeloom.operators.lookback import lookback, newest_stored_date
 from strikeloom.operators.policies import liquidity
 from strikeloom.plans.condor import iron_condors
 from strikeloom.plans.threshold import threshold_signals
-from strikeloom.sinks.layers import SILVER_ORDER, bronze_table, silver_table
+from strikeloom.sinks.layers import SILVER_KEY, SILVER_ORDER, bronze_table, files_of, silver_table
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -74,11 +73,14 @@ def test_enrichment_is_one_projection(spark):
     assert "Exchange" not in text and "Python" not in text and "Join" not in text
 
 
-def test_refreshed_dates_prune_bronze_files(spark, stored):
-    bronze = spark.table(bronze_table(stored))
-    date = osi.trade_date(F.col("file_name")).cast("string")
-    text = plan(enrich(bronze.where(F.coalesce(date, F.lit("")).isin(["2025-01-03"]))))
-    assert re.search(r"PartitionFilters: \[.*regexp_extract\(file_name", text)
+def test_refreshed_files_prune_bronze_by_plain_conditions(spark, stored):
+    files = {("2025-01-03", "a@0"), ("2025-01-04", "b@0")}
+    text = plan(enrich(files_of(spark.table(bronze_table(stored)), files)))
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", text)[1]
+    assert re.search(r"trade_date#\d+ IN \(2025-01-0\d,2025-01-0\d\)", filters)
+    assert re.search(r"source#\d+ IN \(", filters)
+    assert "regexp" not in text and "substr(file_name" not in text
+    assert "Join" not in text
 
 
 def test_liquidity_reaches_the_scan(silver):
@@ -96,7 +98,8 @@ def test_reports_combine_before_shuffling(silver):
 
 def test_loads_do_not_shuffle_and_sort_once(spark, stored, silver):
     bronze = spark.table(bronze_table(stored))
-    rows = enrich(bronze).sortWithinPartitions("trade_date", *SILVER_ORDER).select(*silver.columns)
+    rows = enrich(bronze).withColumn("part", F.col("source"))
+    rows = rows.sortWithinPartitions(*SILVER_KEY, *SILVER_ORDER).select(*silver.columns)
     insert = f"EXPLAIN INSERT OVERWRITE TABLE {silver_table(stored)} SELECT * FROM {{rows}}"
     text = spark.sql(insert, rows=rows).first()[0]
     assert "Exchange" not in text

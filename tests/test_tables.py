@@ -2,14 +2,15 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import csv_line, write_csv
 from strikeloom import jobs
 from strikeloom.checks.scratch import scratch_database
 from strikeloom.operators.lookback import newest_stored_date
 from strikeloom.plans.registry import STRATEGIES, Strategy
-from strikeloom.schema import QUOTE_SCHEMA, SILVER_HEAD, SILVER_TAIL
-from strikeloom.sinks import maintenance
+from strikeloom.schema import MERGED, QUOTE_SCHEMA, SILVER_HEAD, SILVER_TAIL
+from strikeloom.sinks import journal, maintenance
 from strikeloom.sinks.catalog import set_table_properties
 from strikeloom.sinks.layers import bronze_table, gold_table, read_silver, rejects_table, silver_table
 from strikeloom.sinks.partitioned import replace_table
@@ -369,7 +370,7 @@ def test_empty_silver_is_success_without_gold(spark, database, tmp_path):
 def test_newest_date_skips_empty_partitions(spark, landing, database):
     jobs.load(spark, str(landing), database, bootstrap=True)
     table = silver_table(database)
-    spark.sql(f"ALTER TABLE {table} ADD PARTITION (trade_date = '2026-01-01')")
+    spark.sql(f"ALTER TABLE {table} ADD PARTITION (trade_date = '2026-01-01', part = 'none')")
     assert newest_stored_date(spark, table) == date(2025, 1, 29)
 
 
@@ -477,3 +478,97 @@ def test_stream_keeps_unreadable_lines(spark, landing, database, tmp_path):
     run_intake(spark, str(landing), database, str(tmp_path / "progress"), files_per_batch=1)
     assert coverage(spark, database)["2025-01-30"] == 1
     assert rejects(spark, database) == [(name, "cut,short")]
+
+
+def test_stale_rows_are_repaired_by_the_next_load(spark, landing, database, monkeypatch):
+    """Loads that broke off between the layers are completed by loading another file."""
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    stale = write_csv(landing, file_of("20250128"), [csv_line(CHAIN[0])])
+    late = write_csv(landing, file_of("20250203"), [csv_line(s) for s in CHAIN[:2]])
+    for path in (stale, late):
+        with monkeypatch.context() as broken, pytest.raises(RuntimeError):
+            broken.setattr(intake, "refresh_silver", _crash)
+            jobs.load(spark, path, database)
+    assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-28": 4, "2025-01-29": 4}
+    files, everything, loads = journal.broken_off(spark, database)
+    assert {day for day, _ in files} == {"2025-01-28", "2025-02-03"}
+    assert not everything and len(loads) == 2
+    other = write_csv(landing, file_of("20250204"), [csv_line(CHAIN[0])])
+    jobs.load(spark, other, database)
+    assert coverage(spark, database) == {
+        "2025-01-27": 4, "2025-01-28": 1, "2025-01-29": 4, "2025-02-03": 2, "2025-02-04": 1,
+    }
+    assert journal.broken_off(spark, database) == (set(), False, [])
+    assert jobs.repair(spark, database) == 0
+
+
+def test_repair_without_a_load(spark, landing, database, monkeypatch):
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    path = write_csv(landing, file_of("20250128"), [])
+    with monkeypatch.context() as broken, pytest.raises(RuntimeError):
+        broken.setattr(intake, "refresh_silver", _crash)
+        jobs.load(spark, path, database)
+    assert jobs.repair(spark, database) == 1
+    assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-29": 4}
+    assert jobs.repair(spark, database) == 0
+
+
+def test_bootstrap_that_broke_off_is_repaired_as_a_whole(spark, landing, database, monkeypatch):
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    path = write_csv(landing.parent / "other", file_of("20250203"), [csv_line(CHAIN[0])])
+    with monkeypatch.context() as broken, pytest.raises(RuntimeError):
+        broken.setattr(intake, "rebuild_silver", _crash)
+        jobs.load(spark, path, database, bootstrap=True)
+    assert len(coverage(spark, database)) == 3
+    late = write_csv(landing.parent / "other", file_of("20250204"), [csv_line(CHAIN[0])])
+    jobs.load(spark, late, database, policies=["liquidity"])
+    assert coverage(spark, database) == {"2025-02-03": 1, "2025-02-04": 1}
+    assert journal.broken_off(spark, database) == (set(), False, [])
+
+
+def test_finished_loads_stay_on_record_up_to_a_number(spark, landing, database, monkeypatch):
+    monkeypatch.setattr(journal, "KEPT", 2)
+    for path in sorted(str(p) for p in landing.iterdir()):
+        jobs.load(spark, path, database)
+    rows = spark.table(journal.journal_table(database)).collect()
+    assert sorted(str(row.trade_date) for row in rows) == ["2025-01-28", "2025-01-29"]
+    assert {row.state for row in rows} == {journal.SILVER_DONE}
+
+
+def test_a_file_is_taken_out_of_merged_parts(spark, landing, database):
+    for part in range(4):
+        write_csv(landing, f"part{part}-20250128.csv", [csv_line(CHAIN[0])])
+    jobs.load(spark, str(landing), database, bootstrap=True, regroup=True)
+    jobs.load(spark, write_csv(landing, "part1-20250128.csv", []), database)
+    assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-28": 7, "2025-01-29": 4}
+    path = write_csv(landing, "part2-20250128.csv", [csv_line(s) for s in CHAIN])
+    jobs.load(spark, path, database)
+    jobs.load(spark, path, database)
+    assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-28": 10, "2025-01-29": 4}
+    parts = {row.part for row in spark.table(silver_table(database)).select("part").collect()}
+    assert len(parts) == 2 and MERGED in parts
+    jobs.load(spark, path, database, regroup=True)
+    assert coverage(spark, database) == {"2025-01-27": 4, "2025-01-28": 10, "2025-01-29": 4}
+    assert len(spark.table(silver_table(database)).inputFiles()) == 3
+
+
+def test_only_the_loaded_file_is_enriched(spark, landing, database):
+    """Parts of other files on the same date are neither read from bronze nor written again."""
+    for minute in range(5):
+        write_csv(landing, f"m{minute}-20250128.csv", [csv_line(CHAIN[0])])
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    before = set(spark.table(silver_table(database)).inputFiles())
+    path = write_csv(landing, "m3-20250128.csv", [csv_line(s) for s in CHAIN[:3]])
+    jobs.load(spark, path, database)
+    after = set(spark.table(silver_table(database)).inputFiles())
+    assert len(before - after) == len(after - before) == 1
+    assert coverage(spark, database)["2025-01-28"] == 11
+
+
+def test_loading_with_the_earlier_layout_is_refused(spark, landing, database):
+    quotes = read_quote_csv(spark, str(landing)).withColumn("source_id", F.lit("0"))
+    quotes.write.partitionBy("file_name", "source_id").saveAsTable(bronze_table(database))
+    with pytest.raises(ValueError, match="columns do not fit"):
+        jobs.load(spark, str(landing), database)
+    jobs.load(spark, str(landing), database, bootstrap=True)
+    assert sum(coverage(spark, database).values()) == 12

@@ -23,28 +23,27 @@ ASKED_ONE_BY_ONE = 20
 
 
 def partition_keys(
-    spark: SparkSession, table: str, first: Iterable[str | None] | None = None
+    spark: SparkSession, table: str, column: str = "", values: Iterable[str | None] = ()
 ) -> list[tuple[str | None, ...]]:
     """Values of the partition columns of every partition, None for NULL.
 
-    ``first`` narrows them to these values of the first partition column. Read from the catalog:
-    one short string per partition, no data files.
+    ``column``, the first partition column, narrows them to those of its ``values``. Read from the
+    catalog: one short string per partition, no data files.
     """
-    wanted = None if first is None else set(first)
+    wanted = set(values)
 
-    def values(partition: str) -> tuple[str | None, ...]:
+    def key(partition: str) -> tuple[str | None, ...]:
         texts = [unquote(part.split("=", 1)[1]) for part in partition.split("/")]
         return tuple(None if text == NULL_PARTITION else text for text in texts)
 
     def listed(condition: str = "") -> list[tuple[str | None, ...]]:
-        return [values(row.partition) for row in spark.sql(f"SHOW PARTITIONS {table}{condition}").collect()]
+        return [key(row.partition) for row in spark.sql(f"SHOW PARTITIONS {table}{condition}").collect()]
 
-    if wanted is None:
+    if not column:
         return listed()
     if None in wanted or len(wanted) > ASKED_ONE_BY_ONE:
-        return [key for key in listed() if key[0] in wanted]
-    column = next(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
-    return [key for value in wanted for key in listed(f" PARTITION ({column} = {sql_literal(value)})")]
+        return [each for each in listed() if each[0] in wanted]
+    return [each for value in wanted for each in listed(f" PARTITION ({column} = {sql_literal(value)})")]
 
 
 def partition_values(spark: SparkSession, table: str) -> list[str]:

@@ -70,13 +70,16 @@ def begin(spark: SparkSession, database: str, files: set[FileKey], everything: b
     stands for.
     """
     table = journal_table(database)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} (trade_date DATE, {SOURCE} STRING, load_id STRING, "
-        f"state STRING) USING parquet PARTITIONED BY (load_id, state)"
-    )
+    if not spark.catalog.tableExists(table):
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} (trade_date DATE, {SOURCE} STRING, load_id STRING, "
+            f"state STRING) USING parquet PARTITIONED BY (load_id, state)"
+        )
     load = Load(spark, table, f"{time.time_ns():020d}-{uuid4().hex[:8]}")
-    spark.sql(f"ALTER TABLE {table} ADD {load.partition(LANDED)}")
-    load.add({(None, None)} if everything else files)
+    if everything or files:
+        load.add({(None, None)} if everything else files)
+    else:
+        spark.sql(f"ALTER TABLE {table} ADD {load.partition(LANDED)}")
     return load
 
 

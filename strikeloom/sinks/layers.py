@@ -4,6 +4,7 @@ import json
 from collections.abc import Callable, Iterable, Mapping
 from hashlib import sha256
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,9 +68,11 @@ def _with_origin(quotes: DataFrame, uris: list[str], file_named: bool) -> DataFr
     if not file_named or not 0 < len(uris) <= FILES_TO_BROADCAST:
         named = F.col("file_name")
         return quotes.withColumns({"trade_date": osi.trade_date(named), SOURCE: origin.source(named, uri)})
-    spark = quotes.sparkSession
-    known = [(uri, *file_key(uri)) for uri in uris]
-    files = spark.createDataFrame(known, f"_uri string, _day string, {SOURCE} string")
+    days, sources = zip(*map(file_key, uris))
+    if len(uris) == 1:
+        return quotes.withColumns({"trade_date": F.lit(days[0]).cast("date"), SOURCE: F.lit(sources[0])})
+    listed = pa.table({"_uri": uris, "_day": pa.array(days, pa.string()), SOURCE: sources})
+    files = quotes.sparkSession.createDataFrame(listed)
     files = files.select("_uri", F.col("_day").cast("date").alias("trade_date"), SOURCE)
     return quotes.withColumn("_uri", uri).join(F.broadcast(files), "_uri").drop("_uri")
 
@@ -140,7 +143,7 @@ def versions_of(spark: SparkSession, table: str, files: set[FileKey]) -> set[Fil
     if not spark.catalog.tableExists(table):
         return set()
     names = {origin.file_name_in(source) for _, source in files}
-    stored = partition_keys(spark, table, {day for day, _ in files})
+    stored = partition_keys(spark, table, "trade_date", {day for day, _ in files})
     return {key for key in stored if origin.file_name_in(key[1]) in names}
 
 
@@ -217,7 +220,7 @@ def refresh_silver(
     dates = {day for day, _ in files}
     if not files:
         return
-    stored = set(partition_keys(spark, silver, dates)) if spark.catalog.tableExists(silver) else set()
+    stored = set(partition_keys(spark, silver, "trade_date", dates)) if spark.catalog.tableExists(silver) else set()
     if regroup:
         rows = enrichment(spark.table(bronze).where(on_partition("trade_date", dates)))
         written = replace_partitions(_in_parts(rows, True), silver, SILVER_KEY, SILVER_ORDER)

@@ -99,7 +99,7 @@ def _take_over(
     columns = tuple(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
     if columns != (column,):
         # The copy may hold the rows in other parts of their values.
-        drop_partitions(spark, table, columns, partition_keys(spark, table, wanted))
+        drop_partitions(spark, table, columns, partition_keys(spark, table, column, wanted))
     copied.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
     spark.sql(f"DROP TABLE {_copy_of(table)}")
 

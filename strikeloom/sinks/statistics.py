@@ -47,7 +47,7 @@ def refresh(spark: SparkSession, database: str, files: set[FileKey]) -> None:
     others = held.where(~F.col(SOURCE).isin([source for _, source in files]))
     counted = _counted(spark, database, files).unionByName(others)
     written = replace_partitions(counted.hint("rebalance", "trade_date"), table, BY_DATE)
-    stored = partition_keys(spark, table, dates)
+    stored = partition_keys(spark, table, "trade_date", dates)
     drop_partitions(spark, table, BY_DATE, set(stored) - written)
 
 

@@ -5,6 +5,7 @@ aggregates on integers. Code points beyond the basic plane count as one characte
 """
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,12 @@ SHARD_ROWS = 2_000_000
 CHARS_AT_ONCE = 1_000_000
 # Trusted documents of a language outside these quantiles set the limits for all.
 LOW, HIGH = 0.001, 0.995
+# Languages with fewer trusted documents have no limits: nothing in them is rejected for its score.
+LEAST_TRUSTED = 20
+# With fewer than this many, the extremes seen are no quantiles yet and are widened.
+MANY_TRUSTED = 200
+# Texts are dealt to two halves by their hash; a model learns from one and scores the other.
+HALF = "\x00"
 
 
 def packed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,17 +61,33 @@ def _portions(texts: list[str]) -> Iterator[list[int]]:
         yield rows
 
 
+def half_of(text: str) -> int:
+    """Which half a text belongs to: the same for copies."""
+    return crc32(text.encode("utf-8", "replace")) & 1
+
+
+def model_of(lang: str, half: int) -> str:
+    """The name of the model that scores a half of a language, learned from the other one."""
+    return f"{lang}{HALF}{half}"
+
+
 def ngram_counts(docs: DataFrame) -> DataFrame:
     """Rows (lang, key, n): every 4-gram of the corpus and how often trusted documents have it.
 
-    ``docs`` has lang, text and trusted. Each task counts before the shuffle.
+    ``docs`` has lang, text and trusted. A language has two models: each is asked for the texts of
+    one half and counts the trusted ones of the other, so that no text is scored by a model that
+    has seen it. Each task counts before the shuffle.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             groups: dict[tuple[str, bool], list[str]] = {}
             for lang, text, trusted in zip(*(batch[n].to_pylist() for n in ("lang", "text", "trusted"))):
-                groups.setdefault((lang or "", trusted), []).append(text or "")
+                lang, text = lang or "", text or ""
+                half = half_of(text)
+                groups.setdefault((model_of(lang, half), False), []).append(text)
+                if trusted:
+                    groups.setdefault((model_of(lang, 1 - half), True), []).append(text)
             portions = [
                 (lang, trusted, [texts[i] for i in rows])
                 for (lang, trusted), texts in groups.items()
@@ -96,11 +119,14 @@ def _context(key: str) -> Column:
 
 
 def _discounts(counts: DataFrame) -> DataFrame:
-    """The three discounts of each language from its counts of counts; 0.5, 1, 1.5 where undefined."""
+    """The three discounts of each model from its counts of counts; 0.5, 1, 1.5 where undefined.
+
+    They are undefined where no n-gram was seen exactly once, twice or three times.
+    """
     n = [F.count_if(F.col("n") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]
     of = counts.groupBy("lang").agg(*n)
-    y = F.expr("n1 / (n1 + 2D * n2)")
-    found = [F.lit(k) - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}") for k in (1, 2, 3)]
+    y = F.expr("try_divide(n1, n1 + 2D * n2)")
+    found = [F.lit(k) - F.try_divide((k + 1) * y * F.col(f"n{k + 1}"), F.col(f"n{k}")) for k in (1, 2, 3)]
     fit = [
         F.when(F.expr("n1 > 0 AND n2 > 0 AND n3 > 0") & (d > 0) & (d < k), d).otherwise(k / 2)
         for k, d in enumerate(found, 1)
@@ -229,8 +255,10 @@ def _adding(model):
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookups = {lang: Lookup(*table) for lang, table in model.value.items()}
         for batch in batches:
-            langs = [lang or "" for lang in batch["lang"].to_pylist()]
             texts = [text or "" for text in batch["text"].to_pylist()]
+            langs = [
+                model_of(lang or "", half_of(text)) for lang, text in zip(batch["lang"].to_pylist(), texts)
+            ]
             total = batch["total"].to_numpy(zero_copy_only=False).copy()
             for lang in set(langs) & set(lookups):
                 own = np.array([i for i, name in enumerate(langs) if name == lang])
@@ -246,11 +274,15 @@ def _adding(model):
     return added
 
 
-def limits(scored: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
-    """Rows (lang, low_bits, high_bits): exact quantiles of the trusted documents' bits per character.
+def limits(
+    scored: DataFrame, low: float = LOW, high: float = HIGH, least: int = LEAST_TRUSTED, many: int = MANY_TRUSTED
+) -> DataFrame:
+    """Rows (lang, low_bits, high_bits): quantiles of the trusted documents' bits per character.
 
     Bits are rounded to three decimals and counted by value, so no language's documents meet in
-    one task.
+    one task. Languages with fewer than ``least`` trusted documents have no row. Where there are
+    fewer than ``many``, the distance of a limit from the median is doubled: of that few, a clean
+    document easily lies beyond the most extreme one seen.
     """
     bins = scored.where("trusted AND bits IS NOT NULL").groupBy("lang", "bits").agg(
         F.count(F.lit(1)).alias("n")
@@ -259,25 +291,43 @@ def limits(scored: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame
     ranked = bins.withColumns(
         {"upto": F.sum("n").over(upto), "of": F.sum("n").over(Window.partitionBy("lang"))}
     )
-    return ranked.groupBy("lang").agg(
-        F.min(F.when(F.col("upto") >= low * F.col("of"), F.col("bits"))).alias("low_bits"),
-        F.min(F.when(F.col("upto") >= high * F.col("of"), F.col("bits"))).alias("high_bits"),
+
+    def quantile(q: float) -> Column:
+        return F.min(F.when(F.col("upto") >= q * F.col("of"), F.col("bits")))
+
+    found = ranked.groupBy("lang").agg(
+        quantile(low).alias("low"), quantile(0.5).alias("middle"), quantile(high).alias("high"), F.max("of").alias("of")
+    )
+    further = F.when(F.col("of") < many, 2).otherwise(1)
+    return found.where(F.col("of") >= least).select(
+        "lang",
+        *[
+            F.round(F.col("middle") + (F.col(side) - F.col("middle")) * further, 3).alias(f"{side}_bits")
+            for side in ("low", "high")
+        ],
     )
 
 
 def classified(
-    docs: DataFrame, trusted: DataFrame, low: float = LOW, high: float = HIGH
+    docs: DataFrame,
+    trusted: DataFrame,
+    low: float = LOW,
+    high: float = HIGH,
+    least: int = LEAST_TRUSTED,
 ) -> DataFrame:
     """Perplexity and verdict of every document, one row per input row.
 
-    ``trusted`` lists the doc_ids of the training text. One model per language is trained on all
-    of it; a document is kept if its bits per character lie within the quantiles ``low`` and
-    ``high`` of its language's trusted documents.
+    ``trusted`` lists the doc_ids of the training text. Texts are dealt to two halves by their hash
+    and each is scored by a model of its language that was trained on the trusted texts of the
+    other half; so trusted documents, which set the limits, are scored as unseen as all others. A
+    document is kept if its bits per character lie within the quantiles ``low`` and ``high`` of its
+    language's trusted documents.
 
     Returns doc_id, lang, perplexity (per character), low_perplexity, high_perplexity, kept. Empty
     and NULL texts have no perplexity and are rejected. A NULL language is a language of its own,
-    the empty one. Documents of a language without trusted text cannot be judged: NULL perplexity,
-    kept. NULL ids are never trusted. Repeated rows get a row each and count each in training. An
+    the empty one. Documents of a language without trusted text in the other half cannot be judged:
+    NULL perplexity, kept. In a language with fewer than ``least`` trusted documents that have a
+    perplexity there are no limits: all texts that are not empty are kept. NULL ids are never trusted. Repeated rows get a row each and count each in training. An
     empty table gives an empty result; other columns are ignored.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -303,7 +353,7 @@ def classified(
     judged = small.join(ids, F.col("doc_id") == F.col("_id"), "left").withColumn(
         "trusted", F.coalesce("_known", F.lit(False))
     )
-    bounds = limits(judged, low, high)
+    bounds = limits(judged, low, high, least)
     inside = F.col("bits").between(F.col("low_bits"), F.col("high_bits"))
     return judged.join(bounds, "lang", "left").select(
         "doc_id",

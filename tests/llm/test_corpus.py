@@ -219,7 +219,7 @@ def test_probabilities_add_up_and_rank_noise_last(spark):
     asked = frame.unionByName(frame.selectExpr("doc_id", "'zz' AS text", "lang", "false AS trusted"))
     table = kneser_ney.log_probabilities(kneser_ney.ngram_counts(asked)).toPandas()
     context = table.assign(c=table["key"].to_numpy(np.int64).view(np.uint64) >> np.uint64(16))
-    sums = (2.0 ** -context["bits"]).groupby(context["c"]).sum()
+    sums = (2.0 ** -context["bits"]).groupby([context["lang"], context["c"]]).sum()
     assert (sums <= 1 + 1e-9).all() and sums.max() > 0.9
     noise = spark.createDataFrame([(100, "%%%&&& " * 40, "en"), (3, prose(3, 200), "en")], "doc_id bigint, text string, lang string")
     docs = frame.select("doc_id", "text", "lang").unionByName(noise.limit(1))

@@ -49,7 +49,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = line_dedup.without_repeated_lines(documents(spark, sf_dir))
+    rows = line_dedup.without_repeated_lines(documents(spark, sf_dir), min_exact=1)
     return rows.select(
         "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256")
     )

@@ -45,14 +45,14 @@ WITH lines AS (
 ), taking AS (
     SELECT doc_id, line_no, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line
     FROM lines
-    WHERE length(trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12))) >= 20
+    WHERE length(trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12))) >= 1
 ), firsts AS (
     SELECT line, min({'d': doc_id, 'n': line_no}) AS first FROM taking GROUP BY line
 ), variants AS (
-    SELECT line, first, line AS v FROM firsts
+    SELECT line, first, line AS v FROM firsts WHERE length(line) >= 20
     UNION
     SELECT line, first, left(line, i) || substr(line, i + 2) AS v
-    FROM (SELECT line, first, unnest(range(length(line))) AS i FROM firsts)
+    FROM (SELECT line, first, unnest(range(length(line))) AS i FROM firsts WHERE length(line) >= 20)
 ), near AS (
     SELECT DISTINCT a.line FROM variants a JOIN variants b ON a.v = b.v AND b.first < a.first
     WHERE levenshtein(a.line, b.line) <= 1

@@ -347,3 +347,48 @@ def test_every_length_can_be_a_bucket():
 
     assert cost(edges) == min(cost([a, b, 2048]) for a in counts for b in counts)
     assert packing.boundaries({65: 5, 2048: 1}) == [65, 2048]
+
+
+def test_near_passages_of_hundreds_of_pairs(spark):
+    pick = random.Random(9)
+    texts, wanted = [], set()
+    for k in range(240):
+        passage = words_of(k, pick.choice((50, 60, 90)))
+        other = list(passage)
+        for _ in range(pick.randrange(3)):
+            place = pick.randrange(len(other))
+            other[place : place + pick.choice((0, 1))] = [f"new{pick.random()}"] * pick.choice((0, 1))
+        texts += [words_of(1000 + k, 20) + passage, other + words_of(2000 + k, 35)]
+        near = any(
+            alike(passage[i : i + 50], other[j : j + size]) >= 0.8
+            for i in range(len(passage) - 49)
+            for j in range(max(0, i - 3), i + 4)
+            for size in (49, 50, 51, 52)
+            if 50 <= len(other[j : j + size])
+        )
+        wanted |= {(2 * k + 1, 2 * k)} if near else set()
+    found = {(r.doc_id, r.partner_id) for r in near_ids(spark, texts)}
+    assert len(wanted) > 150 and len(found & wanted) >= 0.97 * len(wanted)
+    assert all(a // 2 == b // 2 for a, b in found)
+
+
+def test_overlapping_windows_of_two_functions_equal_brute_force(spark):
+    pick = random.Random(6)
+    rows, wanted = [], set()
+    for doc in range(4):
+        for f in range(3):
+            for place in sorted(pick.sample(range(400), 40)):
+                first, last = max(0, place - pick.randrange(60)), place + pick.randrange(60)
+                if last - first + 1 >= 20:
+                    rows.append((place * 8 + f, doc, first, place, last))
+    frame = spark.createDataFrame(rows, "key bigint, doc_id bigint, first int, place int, last int")
+    for x in rows:
+        for y in rows:
+            if x[1] == y[1] and x[0] & 7 < y[0] & 7:
+                low, high = max(x[2], y[2]), min(x[4], y[4])
+                p, q = sorted((x[3], y[3]))
+                if any(20 <= e - s + 1 <= 30 for s in range(low, p + 1) for e in range(q, high + 1)):
+                    wanted.add((x[1], p, q, x[0], y[0]))
+    found = compact_windows.joint_windows(frame, 20, 30).collect()
+    assert sorted((r.doc_id, r.place, r.until) for r in found) == sorted(w[:3] for w in wanted)
+    assert len({r.key for r in found}) > len(found) // 2

@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice, takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -82,7 +83,8 @@ def base_spans(text: str) -> list[Span]:
 
 # --- candidates, labelers and features -------------------------------------------------------
 
-_CANDIDATE = re.compile(r"[^\s\"'<>()\[\]{}|,;:=]*[0-9@][^\s\"'<>()\[\]{}|,;:=]*")
+_MARK = re.compile(r"[0-9@]")
+_INSIDE = re.compile(r"[^\s\"'<>()\[\]{}|,;:=]+")
 _WORD = re.compile(r"[^\W\d_]+")
 # What gazetteers and context labelers look for.
 TOP_LEVEL = frozenset("com net org edu gov int mil info io de fr es uk us eu ch at it nl".split())
@@ -162,18 +164,28 @@ class Candidate:
 N_LABELERS, N_FEATURES = 11, 16
 
 
+def _tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Unbroken runs with a digit or an @, widened from the first one: linear, however long a run is."""
+    end = 0
+    while mark := _MARK.search(text, end):
+        start = mark.start()
+        while start > end and _INSIDE.match(text[start - 1]):
+            start -= 1
+        end = _INSIDE.match(text, mark.start()).end()
+        yield start, end
+
+
 def candidates(text: str, taken: list[Span]) -> Iterator[Candidate]:
     """Tokens that no base span touches, without full stops at their ends."""
-    if not _DIGIT.search(text) and "@" not in text:
-        return
     k = 0
-    for match in _CANDIDATE.finditer(text):
-        start, end = match.span()
+    for start, end in _tokens(text):
         while end > start and text[end - 1] in ".!?%*$&#":
             end -= 1
         while k < len(taken) and taken[k][2] <= start:
             k += 1
-        if end > start and not any(s < end and e > start for s, _, e in taken[k : k + 8]):
+        # Spans come by their starts; an earlier one that lasts longer hides no later one.
+        touching = (e > start for s, _, e in takewhile(lambda span: span[0] < end, islice(taken, k, None)))
+        if end > start and not any(touching):
             yield Candidate(text, start, end)
 
 

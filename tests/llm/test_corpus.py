@@ -392,3 +392,12 @@ def test_overlapping_windows_of_two_functions_equal_brute_force(spark):
     found = compact_windows.joint_windows(frame, 20, 30).collect()
     assert sorted((r.doc_id, r.place, r.until) for r in found) == sorted(w[:3] for w in wanted)
     assert len({r.key for r in found}) > len(found) // 2
+
+
+def test_candidates_of_long_unbroken_texts_take_linear_time():
+    for text in ("7" + "x" * 10**6, "日本" * 500_000 + "1", "a@" * 300_000):
+        found = list(pii.candidates(text, pii.base_spans(text)))
+        assert [(c.start, c.end) for c in found] == [(0, len(text))]
+    text = "x1y, =a.b@c.de; 12!"
+    assert [c.token for c in pii.candidates(text, [])] == ["x1y", "a.b@c.de", "12"]
+    assert [c.token for c in pii.candidates(text, [(6, 0, 14)])] == ["x1y", "12"]

@@ -1,6 +1,7 @@
 """Benchmark decontamination: every passage queries a BM25 index of the test items."""
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -11,9 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 K1, B = 1.2, 0.75
-# Share of an item's highest possible score at which it is retrieved.
-MIN_SHARE = 0.6
-SHINGLE, MIN_OVERLAP = 5, 0.8
+SHINGLE, PAIR, MIN_OVERLAP = 5, 2, 0.8
 BLOCK_ITEMS = 16
 ITEMS_PER_SHARD = 20_000
 HALF_WORDS = 64
@@ -49,6 +48,59 @@ def overlap(part: list[str], passage: list[str], n: int) -> float:
     return len(wanted & grams(passage, min(n, len(part)))) / len(wanted) if wanted else 0.0
 
 
+def heaviest_missing(words: list[str], weight: dict[str, float], n: int, verify: float) -> float:
+    """The most weight of distinct words that a passage may lack and still hold ``verify`` of the runs.
+
+    A lacking word takes every run that covers one of its places. Counted at its first place only,
+    that is a choice of places of the most weight whose runs together are no more than may be
+    missing: a dynamic programme over places, by runs taken so far.
+    """
+    n = min(n, len(words))
+    runs = [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+    often = sorted(Counter(runs).values(), reverse=True)
+    # Runs that occur twice are missing twice.
+    room = sum(often[: int(len(often) * (1 - verify) + 1e-9)])
+    seen: set[str] = set()
+    # best[k]: most weight of places so far with k runs taken; by the last place taken.
+    ended: list[tuple[int, np.ndarray]] = []
+    whole = np.zeros(room + 1)
+    for place, word in enumerate(words):
+        value = 0.0 if word in seen else weight.get(word, 0.0)
+        seen.add(word)
+        if not value:
+            continue
+        first, last = max(0, place - n + 1), min(place, len(runs) - 1)
+        best = np.full(room + 1, -np.inf)
+        for before, row in [(-n, np.where(np.arange(room + 1) == 0, 0.0, -np.inf)), *ended]:
+            cost = max(0, last - max(first, before + 1) + 1)
+            if cost <= room:
+                np.maximum(best[cost:], row[: room + 1 - cost] + value, out=best[cost:])
+        near = [(b, row) for b, row in ended if b > place - n]
+        # What ended further back no longer shares runs: only its best is kept.
+        far = [row for b, row in ended if b <= place - n]
+        if far:
+            near.insert(0, (place - n, np.maximum.reduce(far)))
+        ended = [*near, (place, best)]
+        whole = np.maximum(whole, best)
+    return float(whole.max(initial=0.0))
+
+
+def gate(text: str, weight: dict[str, float], verify: float) -> float:
+    """The least share of its score with which an item can pass verification.
+
+    A passage that holds ``verify`` of the question's and of the answer's runs lacks at most the
+    heaviest words that leave as many; a word of both counts to the question. It has at least one
+    word of the item, so items of few words need their lightest.
+    """
+    question, answer = question_and_answer(text)
+    lost = heaviest_missing(question, weight, SHINGLE, verify)
+    if answer != question:
+        asked = set(question)
+        rest = {word: w for word, w in weight.items() if word not in asked}
+        lost += heaviest_missing(answer, rest, PAIR, verify)
+    return max(sum(weight.values()) - lost, min(weight.values())) * (1 - 1e-9)
+
+
 def postings(items: DataFrame) -> DataFrame:
     """Rows (item_id, word, share): what each word adds to an item, as part of its highest score.
 
@@ -84,7 +136,7 @@ def postings(items: DataFrame) -> DataFrame:
 class Index:
     """Inverted index of one shard: postings by term, in blocks of items of similar length."""
 
-    def __init__(self, rows: pd.DataFrame, texts: dict):
+    def __init__(self, rows: pd.DataFrame, texts: dict, verify: float):
         sizes = {item: len(words_of(text)) for item, text in texts.items()}
         self.items = sorted(sizes, key=lambda item: (sizes[item], str(item)))
         self.parts = [question_and_answer(texts[item]) for item in self.items]
@@ -95,6 +147,13 @@ class Index:
         term = rows["word"].map(self.vocabulary).to_numpy(np.int64)
         item = rows["item_id"].map(place).to_numpy(np.int64)
         share = rows["share"].to_numpy(float)
+        weights: list[dict[str, float]] = [{} for _ in self.items]
+        for k, word, value in zip(item.tolist(), rows["word"], share.tolist()):
+            weights[k][word] = value
+        # An item is retrieved from a share of its own on: retrieval compares multiples of it with 1.
+        gates = [gate(texts[i], w, verify) if w else 1.0 for i, w in zip(self.items, weights)]
+        self.gate = np.array(gates)
+        share = share / self.gate[item]
         order = np.lexsort((item, term))
         self.term, self.item, self.share = term[order], item[order], share[order]
         self.start = np.searchsorted(self.term, np.arange(len(names) + 1))
@@ -143,9 +202,9 @@ def _summed(keys: np.ndarray, values: np.ndarray):
     return distinct, np.bincount(inverse, values, len(distinct)), inverse
 
 
-def _matches(index: Index, texts: list[str | None], least: float, verify: float):
+def _matches(index: Index, texts: list[str | None], verify: float):
     """(row, item, share, question overlap, answer overlap) of every verified match of some texts."""
-    lookup, half = index.vocabulary.get, index.half
+    lookup, half, least = index.vocabulary.get, index.half, 1.0
     words, block_of, term_of, first_block = [], [], [], [0]
     for text in texts:
         cut = words_of(text)
@@ -178,36 +237,43 @@ def _matches(index: Index, texts: list[str | None], least: float, verify: float)
         found = overlap(question, passage_words, SHINGLE)
         if found < verify:
             continue
-        tail = overlap(answer, passage_words, 2)
+        tail = overlap(answer, passage_words, PAIR)
         if tail >= verify:
             key = (row, int(item))
-            best[key] = max(best.get(key, (0.0, 0.0, 0.0)), (float(share), found, tail))
-    return [(row, item, *value) for (row, item), value in best.items()]
+            share = float(share * index.gate[item])
+            best[key] = max(best.get(key, (0.0, 0.0, 0.0)), (share, found, tail))
+    # Of texts of one id the best match.
+    ids: dict[tuple, tuple] = {}
+    for (row, item), value in best.items():
+        name = (row, index.ids[item])
+        ids[name] = max(ids.get(name, (item, 0.0, 0.0, 0.0)), (item, *value), key=lambda x: (x[1:], -x[0]))
+    return [(row, item, *values) for (row, _), (item, *values) in ids.items()]
 
 
-def contaminated(
-    docs: DataFrame, items: DataFrame, least: float = MIN_SHARE, verify: float = MIN_OVERLAP
-) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, verify: float = MIN_OVERLAP) -> DataFrame:
     """Which documents hold which test items.
 
     Every text is cut into passages of two blocks, each at least as long as the longest item, and
-    each passage is a query against an inverted index of the items. Items with at least ``least``
-    of their highest BM25 score are retrieved and verified: the passage must hold ``verify`` of
-    the five-word shingles of the item's question and of the word pairs of its answer.
+    each passage is a query against an inverted index of the items. Items are retrieved from that
+    share of their highest BM25 score on that verification implies, each its own, and verified: the
+    passage must hold ``verify`` of the five-word shingles of the item's question and of the word
+    pairs of its answer. So retrieval loses nothing that would be verified.
 
     The index is handed out in shards of at most ITEMS_PER_SHARD items; one pass over the texts
     per shard, and no shuffle of texts.
 
     Returns doc_id, item_id, score_share, question_overlap, answer_overlap, once per input row and
-    item. NULL and empty texts match nothing, and neither do items without words or id. Of items
-    that share an id the one with the largest text counts. NULL ids and repeated rows of documents
-    are answered like others. Empty tables give an empty result; other columns are ignored.
+    item. NULL and empty texts match nothing, and neither do items without words or id. Different
+    texts of one item id are all searched, and the best match is given. NULL ids and repeated rows of
+    documents are answered like others. Empty tables give an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
-    unique = items.where("item_id IS NOT NULL AND text IS NOT NULL").groupBy("item_id").agg(
-        F.max("text").alias("text")
+    rows = items.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text")
+    # A text's name within the index: its id and the text itself.
+    unique = rows.distinct().select(
+        F.concat_ws(" ", F.xxhash64("item_id", "text"), F.sha2("text", 256)).alias("name"), "item_id", "text"
     )
-    weights = postings(unique)
+    weights = postings(unique.select(F.col("name").alias("item_id"), "text"))
     shards = max(1, -(-unique.count() // ITEMS_PER_SHARD))
     kinds = [docs.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()]
     schema = (
@@ -216,25 +282,29 @@ def contaminated(
     )
     found = []
     for shard in range(shards):
+        # Texts of one id share a shard, so that their best match is known there.
         mine = F.pmod(F.xxhash64("item_id"), F.lit(shards)) == shard
-        texts = {row.item_id: row.text for row in unique.where(mine).collect()}
-        index = spark.sparkContext.broadcast(Index(weights.where(mine).toPandas(), texts))
-        found.append(
-            docs.select("doc_id", "text").mapInArrow(_searching(index, least, verify), schema)
-        )
+        own = unique.where(mine)
+        listed = own.collect()
+        texts, ids = {r.name: r.text for r in listed}, {r.name: r.item_id for r in listed}
+        scored = weights.join(own.select(F.col("name").alias("item_id")), "item_id", "left_semi")
+        index = Index(scored.toPandas(), texts, verify)
+        index.ids = [ids[name] for name in index.items]
+        handed = spark.sparkContext.broadcast(index)
+        found.append(docs.select("doc_id", "text").mapInArrow(_searching(handed, verify), schema))
     result = found[0]
     for more in found[1:]:
         result = result.unionAll(more)
     return result
 
 
-def _searching(index, least: float, verify: float):
+def _searching(index, verify: float):
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = pa.array(index.value.items)
+        items = pa.array(index.value.ids)
         for batch in batches:
             ids, texts = batch["doc_id"], batch["text"].to_pylist()
             for first, last in _portions(texts):
-                rows = _matches(index.value, texts[first:last], least, verify)
+                rows = _matches(index.value, texts[first:last], verify)
                 if not rows:
                     continue
                 row, item, *values = zip(*rows)

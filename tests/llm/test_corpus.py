@@ -401,3 +401,44 @@ def test_candidates_of_long_unbroken_texts_take_linear_time():
     text = "x1y, =a.b@c.de; 12!"
     assert [c.token for c in pii.candidates(text, [])] == ["x1y", "a.b@c.de", "12"]
     assert [c.token for c in pii.candidates(text, [(6, 0, 14)])] == ["x1y", "12"]
+
+
+def test_every_verified_item_is_retrieved(spark):
+    pick = random.Random(12)
+    items, texts = [], []
+    for k in range(60):
+        question, answer = words_of(5000 + k, pick.choice((3, 12, 40))), words_of(6000 + k, pick.choice((1, 6, 12)))
+        question = [w if pick.random() < 0.5 else pick.choice(WORDS) for w in question]
+        items.append((k % 50, " ".join(question) + "\n" + " ".join(answer)))
+        for lost in (0, 1, 3):
+            held = list(question)
+            for place in pick.sample(range(len(held)), min(lost, len(held))):
+                held[place] = "other"
+            tail = answer if pick.random() < 0.7 else answer[:-1] + ["gone"]
+            texts.append(prose(pick.random(), pick.randrange(90)) + " " + " ".join(held + tail) + " " + prose(k, 70))
+    wanted = set()
+    for d, text in enumerate(texts):
+        passage = decontamination.words_of(text)
+        for i, item in items:
+            question, answer = decontamination.question_and_answer(item)
+            asked = decontamination.overlap(question, passage, 5), decontamination.overlap(answer, passage, 2)
+            if min(asked) >= 0.8:
+                wanted.add((d, i))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    found = [(r.doc_id, r.item_id) for r in decontamination.contaminated(frame, table).collect()]
+    assert set(found) == wanted and len(found) == len(wanted) > 60
+
+
+def test_gates_are_no_higher_than_any_accepted_loss():
+    pick = random.Random(3)
+    for _ in range(40):
+        words = [pick.choice("abcdefghijklmnop") for _ in range(pick.randrange(5, 14))]
+        weight = {w: pick.random() for w in sorted(set(words))}
+        bound = decontamination.heaviest_missing(words, weight, 3, 0.6)
+        for mask in range(1 << len(weight)):
+            gone = {w for k, w in enumerate(sorted(weight)) if mask >> k & 1}
+            left = [w if w not in gone else "-" for w in words]
+            runs = decontamination.grams(words, 3)
+            if len(runs & decontamination.grams(left, 3)) / len(runs) >= 0.6:
+                assert sum(weight[w] for w in gone) <= bound + 1e-9

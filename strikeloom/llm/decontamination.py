@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strikeloom.llm.identity import row_identity, without_rows
+
 K1, B = 1.2, 0.75
 SHINGLE, PAIR, MIN_OVERLAP = 5, 2, 0.8
 BLOCK_ITEMS = 16
@@ -329,6 +331,6 @@ def _portions(texts: list[str | None]) -> Iterator[tuple[int, int]]:
 
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a test item; rows with a NULL id stay."""
-    leaked = contaminated(docs, items).where("doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(leaked, "doc_id", "left_anti")
+    """``docs`` without the rows whose text holds a test item, rows with a NULL id among them."""
+    rows = docs.select(row_identity().alias("doc_id"), "text")
+    return without_rows(docs, contaminated(rows, items).select(F.col("doc_id").alias("row")))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strikeloom.llm.identity import fresh_name
 from strikeloom.sinks.shared import stored
 
 ORDER = 4
@@ -330,6 +331,31 @@ def classified(
     perplexity there are no limits: all texts that are not empty are kept. NULL ids are never trusted. Repeated rows get a row each and count each in training. An
     empty table gives an empty result; other columns are ignored.
     """
+    return _judged(docs, trusted, low, high, least).drop("text_hash")
+
+
+def accepted(docs: DataFrame, trusted: DataFrame, least: int = LEAST_TRUSTED) -> DataFrame:
+    """The rows of ``docs`` that ``classified`` keeps, with all their columns.
+
+    A verdict goes by language and text, so rows are told apart by them and their id: different
+    texts or languages under one id are judged each on its own, and rows without an id like others.
+    """
+    verdicts = _judged(docs, trusted, LOW, HIGH, least)
+    number, language, digest = map(fresh_name, ("doc_id", "lang", "text_hash"))
+    rejected = verdicts.where("NOT kept").select(
+        F.col("doc_id").alias(number), F.col("lang").alias(language), F.col("text_hash").alias(digest)
+    )
+    same = (
+        F.col("doc_id").eqNullSafe(F.col(number))
+        & (F.xxhash64("text") == F.col(digest))
+        & (F.coalesce("lang", F.lit("")) == F.col(language))
+    )
+    return docs.join(rejected.distinct(), same, "left_anti")
+
+
+def _judged(
+    docs: DataFrame, trusted: DataFrame, low: float, high: float, least: int
+) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     ids = trusted.select(F.col("doc_id").cast(kind).alias("_id")).distinct()
     ids = ids.withColumn("_known", F.lit(True))
@@ -346,6 +372,7 @@ def classified(
         scored.select(
             "doc_id",
             "lang",
+            F.xxhash64("text").alias("text_hash"),
             F.coalesce(length, F.lit(0)).alias("n_chars"),
             F.when((length > 0) & (F.col("total") > 0), F.round(F.col("total") / length, 3)).alias("bits"),
         )
@@ -358,6 +385,7 @@ def classified(
     return judged.join(bounds, "lang", "left").select(
         "doc_id",
         "lang",
+        "text_hash",
         F.pow(F.lit(2.0), "bits").alias("perplexity"),
         F.pow(F.lit(2.0), "low_bits").alias("low_perplexity"),
         F.pow(F.lit(2.0), "high_bits").alias("high_perplexity"),

@@ -10,6 +10,7 @@ edit apart, and where.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strikeloom.llm.identity import fresh_name
 from strikeloom.sinks.shared import stored
 
 MAX_EDITS = 1
@@ -191,22 +192,23 @@ def without_repeated_lines(
     lose the same places. An empty table gives an empty result.
     """
     drops = stored(dropped_lines(docs, max_edits, min_chars, min_exact))
-    listed = drops.groupBy(F.col("doc_id").alias("_dropped_id")).agg(
-        F.collect_set("line_no").alias("_dropped")
+    number, dropped = fresh_name("doc_id"), fresh_name("dropped")
+    listed = drops.groupBy(F.col("doc_id").alias(number)).agg(
+        F.collect_set("line_no").alias(dropped)
     )
-    joined = docs.join(listed, F.col("doc_id") == F.col("_dropped_id"), "left")
+    joined = docs.join(listed, F.col("doc_id") == F.col(number), "left")
     lines = _split(F.col("text"))
     numbers = F.sequence(F.lit(0), F.size(lines) - 1)
-    kept = F.transform(F.array_except(numbers, "_dropped"), lambda i: F.get(lines, i))
+    kept = F.transform(F.array_except(numbers, dropped), lambda i: F.get(lines, i))
     counted = joined.withColumns(
         {
             "n_lines": F.coalesce(F.when(F.col("text").isNotNull(), F.size(lines)), F.lit(0)).cast("long"),
-            "n_removed": F.coalesce(F.size("_dropped"), F.lit(0)).cast("long"),
-            "text": F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(
+            "n_removed": F.coalesce(F.size(dropped), F.lit(0)).cast("long"),
+            "text": F.when(F.col(dropped).isNull(), F.col("text")).otherwise(
                 F.array_join(kept, "\n")
             ),
         }
     )
     return counted.withColumn("n_removed", F.greatest("n_removed", F.lit(0))).drop(
-        "_dropped_id", "_dropped"
+        number, dropped
     )

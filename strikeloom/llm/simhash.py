@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strikeloom.llm import golay
 from strikeloom.llm.components import components
+from strikeloom.llm.identity import fresh_name, row_identity
 from strikeloom.sinks.shared import stored
 
 SEED = 42
@@ -200,11 +201,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
 
 
 def one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """Documents without near-duplicates: of each component the document with the smallest id stays.
+    """Documents without near-duplicates: one row of each component stays.
 
-    Rows without an id stay. Of rows that repeat the smallest id one stays.
+    That is the row with the smallest ``doc_id``; a row without an id stays only where its component
+    has no row with one, and of different texts under the same smallest id (or under none) the one
+    with the smallest hash does. Different texts of one id are told apart: each is judged in its own
+    component. Of rows that repeat both id and text one stays. Other columns, whatever their names,
+    are kept.
     """
-    groups = near_duplicates(docs.select("doc_id", "text"), shingle, max_bits)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    unnamed = docs.where(F.col("doc_id").isNull())
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(unnamed)
+    named = {"id": fresh_name("id"), "kept": fresh_name("kept")}
+    rows = docs.withColumn(named["id"], row_identity())
+    groups = near_duplicates(rows.select(F.col(named["id"]).alias("doc_id"), "text"), shingle, max_bits)
+    kept = groups.where(F.col("doc_id") == F.col("component_id")).select(
+        F.col("doc_id").alias(named["kept"])
+    )
+    chosen = rows.join(kept.distinct(), F.col(named["id"]) == F.col(named["kept"]), "left_semi")
+    return chosen.dropDuplicates([named["id"]]).drop(named["id"])

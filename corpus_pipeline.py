@@ -4,31 +4,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strikeloom.llm import decontamination, kneser_ney, line_dedup, packing, simhash
+from strikeloom.llm.identity import fresh_name
 from strikeloom.sinks.shared import shared_folder
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose perplexity under the trusted texts' model is within its language's limits."""
+    """Documents whose perplexity under the trusted texts' model is within its language's limits.
+
+    Each row is judged on its own text and language, rows without an id among them.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     trusted = labels.where("quality = 1 AND toxic = 0").select("doc_id")
-    verdicts = kneser_ney.classified(docs, trusted)
-    rejected = verdicts.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    return kneser_ney.accepted(docs, trusted).select(*docs.columns)
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that repeat an earlier one, however short; n_chars is counted anew where it was set."""
-    columns = docs.columns
-    result = line_dedup.without_repeated_lines(docs, min_exact=1)
-    if "n_chars" in columns:
-        kind = docs.schema["n_chars"].dataType
-        count = F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
-        result = result.withColumn("n_chars", count)
-    return result.select(*columns)
+    """Documents without lines that repeat an earlier one, however short.
+
+    n_chars is counted anew in documents that lose lines; all other columns, whatever their names,
+    stay as they are. Places are by id: rows of one id lose the same line numbers, and rows
+    without an id lose none.
+    """
+    set_aside = {name: fresh_name("own") for name in docs.columns if name not in ("doc_id", "text")}
+    result = line_dedup.without_repeated_lines(docs.withColumnsRenamed(set_aside), min_exact=1)
+    if "n_chars" in set_aside:
+        kind, own = docs.schema["n_chars"].dataType, set_aside["n_chars"]
+        count = F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col(own))
+        result = result.withColumn(own, count)
+    back = [F.col(set_aside.get(name, name)).alias(name) for name in docs.columns]
+    return result.select(*back)
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: 3-word shingles, at most 2 differing bits."""
+    """One document of each group of near-duplicates: 3-word shingles, at most 2 differing bits.
+
+    Different texts under one id are different documents, and so are rows without an id.
+    """
     return simhash.one_per_group(docs, shingle=3, max_bits=2).select(*docs.columns)
 
 

@@ -286,6 +286,22 @@ SQL = {
                 cast(NULL AS double) AS price_min, cast(NULL AS double) AS price_max,
                 0::bigint AS price_count, count(*) AS price_nulls
          FROM quotes""",
+    "range_profile_sketched": QUOTES
+    + """, month AS (
+        SELECT * FROM silver WHERE trade_date BETWEEN date '2025-01-05' AND date '2025-02-03'
+    ), types AS (SELECT option_type, count(*) AS n FROM month GROUP BY option_type)
+    SELECT count(*) AS row_count, count(bid_px_00) AS bid_px_00_count, 0::bigint AS price_count,
+           min(bid_px_00) AS bid_px_00_min, max(ask_px_00) AS ask_px_00_max,
+           """
+    + ", ".join(
+        f"true AS {name}_q{share}_near"
+        for name in ("bid_px_00", "ask_px_00", "mid_price")
+        for share in (25, 50, 95)
+    )
+    + """, true AS symbols_near,
+           (SELECT option_type FROM types ORDER BY n DESC LIMIT 1) AS top_type,
+           (SELECT max(n) FROM types) AS top_type_count, true AS price_unknown
+    FROM month""",
     "gold_head": ALL_CONDORS
     + "SELECT * FROM condor ORDER BY trade_date, underlying, expiration LIMIT 10",
     "src_csv": QUOTES + QUOTE_ROWS,
@@ -306,6 +322,25 @@ SQL = {
          AND cast(timestamp AS bigint)
              BETWEEN (date '1995-01-01' - date '1970-01-01') * 86400000::bigint
              AND (date '1996-12-31' - date '1970-01-01') * 86400000::bigint""",
+    "bars_requests": BARS
+    + """, asked AS (
+        SELECT 'own' || s_suppkey AS request_id, 'O:S' || s_suppkey AS symbol,
+               CASE WHEN s_suppkey % 7 <> 0
+                    THEN date '1992-01-01' + cast(s_suppkey * 37 % 2000 AS int) END AS start_date,
+               CASE WHEN s_suppkey % 5 <> 0
+                    THEN date '1992-01-01' + cast(s_suppkey * 37 % 2000 AS int)
+                         + cast(s_suppkey * 53 % 400 - 20 AS int) END AS end_date
+        FROM supplier
+        UNION ALL
+        SELECT 'hot' || s_suppkey, 'O:S3', date '1992-01-01' + cast(s_suppkey * 37 % 2000 AS int),
+               date '1992-01-01' + cast(s_suppkey * 37 % 2000 AS int) + 365
+        FROM supplier
+    )
+    SELECT request_id, bars.* FROM bars JOIN asked USING (symbol)
+    WHERE (start_date IS NULL
+           OR cast(timestamp AS bigint) >= (start_date - date '1970-01-01') * 86400000::bigint)
+      AND (end_date IS NULL
+           OR cast(timestamp AS bigint) <= (end_date - date '1970-01-01') * 86400000::bigint)""",
     "bronze_bootstrap": QUOTES + QUOTE_ROWS,
     "bronze_incremental": QUOTES + QUOTE_ROWS,
     "silver_incremental": QUOTES + SILVER_ROWS,
@@ -326,3 +361,5 @@ SQL = {
     "ddl_roundtrip": QUOTES + COVERAGE,
 }
 SQL["strategies_shared_scan"] = SQL["strategies_run"]
+SQL["strategy_from_sql"] = SQL["iron_condor"]
+SQL["strategy_chain_function"] = SQL["custom_strategy_pandas"]

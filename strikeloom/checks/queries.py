@@ -19,7 +19,8 @@ from strikeloom.checks.scratch import scratch_database, scratch_folder
 from strikeloom.functions import osi
 from strikeloom.operators import chains, lookback, policies, reports
 from strikeloom.operators.enrich import enrich, underlying_of, with_underlying_from
-from strikeloom.plans import condor, custom, threshold
+from strikeloom.operators import profiles as sketches
+from strikeloom.plans import condor, custom, tables, threshold
 from strikeloom.plans.registry import STRATEGIES, Strategy
 from strikeloom.schema import (
     CHAIN_KEY,
@@ -30,7 +31,7 @@ from strikeloom.schema import (
     REJECTED,
     UNDERLYINGS,
 )
-from strikeloom.sinks import journal, maintenance, statistics
+from strikeloom.sinks import journal, maintenance, profiles, statistics
 from strikeloom.sinks.layers import (
     SILVER_ORDER,
     bronze_table,
@@ -41,6 +42,7 @@ from strikeloom.sinks.layers import (
     rules_of,
     silver_table,
 )
+from strikeloom.sinks.shared import stored
 from strikeloom.sources import bars, files
 from strikeloom.streaming.intake import absorb, run_intake
 
@@ -198,6 +200,26 @@ def bars_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars.bars_between(stored_bars(spark, sf_dir), "O:S3", "1995-01-01", "1996-12-31")
 
 
+def bars_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two requests of every supplier, one of them for a symbol that all ask for; some are open or reversed."""
+    number = F.col("s_suppkey").cast("int")
+    start = F.date_add(F.lit("1992-01-01").cast("date"), number * 37 % 2000)
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    own = suppliers.select(
+        F.concat(F.lit("own"), number).alias("request_id"),
+        F.concat(F.lit("O:S"), number).alias("symbol"),
+        F.when(number % 7 != 0, start).alias("start_date"),
+        F.when(number % 5 != 0, F.date_add(start, number * 53 % 400 - 20)).alias("end_date"),
+    )
+    hot = suppliers.select(
+        F.concat(F.lit("hot"), number).alias("request_id"),
+        F.lit("O:S3").alias("symbol"),
+        start.alias("start_date"),
+        F.date_add(start, 365).alias("end_date"),
+    )
+    return bars.bars_for_requests(stored_bars(spark, sf_dir), own.unionByName(hot))
+
+
 def bronze_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quote_rows(spark.table(bronze_table(loaded(spark, sf_dir))))
 
@@ -566,6 +588,25 @@ def strategies_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes.join(jobs.gold_counts(spark, database, succeeded), "layer", "left")
 
 
+def strategy_from_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Condors asked for in SQL, by view and by table function with the dates dealt between them."""
+    tables.register_strategies(spark, spark.table(silver_table(loaded(spark, sf_dir))))
+    return spark.sql(
+        """
+        SELECT * FROM IronCondorStrategy WHERE trade_date < DATE'2025-01-20'
+        UNION ALL
+        SELECT * FROM IronCondorStrategy_between(DATE'2025-01-20', DATE'2025-12-31')
+        """
+    )
+
+
+def strategy_chain_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pandas function of one chain as a SQL table function, partitioned by chain."""
+    tables.register_strategies(spark, spark.table(silver_table(loaded(spark, sf_dir))))
+    tables.register_chain_function(spark, "strike_span", _strike_span, SPAN_SCHEMA)
+    return spark.sql(tables.by_chain("strike_span"))
+
+
 # --- reports ---------------------------------------------------------------------------------
 
 
@@ -619,6 +660,33 @@ def range_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.range_profile(stored, ["ts_recv_epoch", "bid_px_00", "ask_px_00", "price"])
 
 
+def range_profile_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile kept by date, some dates anew, merged over a month: exact where it is, within its error elsewhere."""
+    database, first, last = loaded(spark, sf_dir), "2025-01-05", "2025-02-03"
+    profiles.keep_profile(spark, database)
+    profiles.keep_profile(spark, database, ["2025-01-06", "2025-01-07"])
+    one = stored(profiles.profile(spark, database, first, last))
+    rows = spark.table(silver_table(database)).where(F.col("trade_date").between(first, last))
+
+    columns = ["row_count", "bid_px_00_count", "price_count", "bid_px_00_min", "ask_px_00_max"]
+    found = [one.select(name).scalar().alias(name) for name in columns]
+    total = F.count(F.lit(1))
+    for name in ("bid_px_00", "ask_px_00", "mid_price"):
+        value = F.col(name).cast("double")
+        for share in (0.25, 0.5, 0.95):
+            at = one.select(sketches.quantile(name, share)).scalar()
+            # The wanted rank lies within 2 % of the ranks that the estimated value takes.
+            below, upto = F.count_if(value < at) / total, F.count_if(value <= at) / total
+            found.append(((below <= share + 0.02) & (upto >= share - 0.02)).alias(f"{name}_q{int(share * 100)}_near"))
+    symbols = one.select(sketches.distinct_count("symbol")).scalar()
+    exact = F.count_distinct("symbol")
+    found.append((F.abs(symbols - exact) <= exact * 0.08).alias("symbols_near"))
+    most = one.select(F.get(sketches.most_frequent("option_type", 1), F.lit(0))).scalar()
+    found += [most["item"].alias("top_type"), most["count"].alias("top_type_count")]
+    found.append(one.select(sketches.quantile("price", 0.5)).scalar().isNull().alias("price_unknown"))
+    return rows.agg(*found)
+
+
 def gold_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = condor.iron_condors(silver(spark, sf_dir))
     return reports.head(gold, ["trade_date", "underlying", "expiration"])
@@ -655,6 +723,8 @@ QUERIES = {
         custom_strategy_batches,
         custom_strategy_columns,
         strategies_run,
+        strategy_from_sql,
+        strategy_chain_function,
         option_type_counts,
         distinct_underlying,
         signal_distribution,
@@ -662,12 +732,14 @@ QUERIES = {
         latest_dates,
         layer_counts,
         range_profile,
+        range_profile_sketched,
         gold_head,
         src_csv,
         src_csv_rejects,
         src_file_name,
         src_parquet,
         bars_range,
+        bars_requests,
         bronze_bootstrap,
         bronze_incremental,
         silver_incremental,

@@ -1,6 +1,7 @@
 import json
+from datetime import date, timedelta
 
-from strikeloom.sources.bars import bars_between, normalise_bars, read_bar_replies
+from strikeloom.sources.bars import bars_between, bars_for_requests, normalise_bars, read_bar_replies
 
 DAY = 86_400_000
 FIRST = 20_089 * DAY  # 2025-01-01
@@ -32,3 +33,37 @@ def test_no_replies_keep_the_layout(spark, tmp_path):
     bars = normalise_bars(read_bar_replies(spark, str(tmp_path)))
     assert bars.columns == ["timestamp", "symbol", "close", "volume"]
     assert bars.count() == 0
+
+
+def test_requests_equal_brute_force(spark):
+    # 400 days of one symbol, few of another; times within the day, and bars that cannot be dated.
+    hours = [0, 13 * 3_600_000, DAY - 1]
+    times = [FIRST + d * DAY + hours[d % 3] for d in range(400)]
+    rows = [(str(t), "A", float(t % 97), 1.0) for t in times] + [(str(times[9]), "B", 2.0, 1.0)]
+    odd = [("soon", "A", 1.0, 1.0), (None, "A", 1.0, 1.0), (str(times[0]), None, 1.0, 1.0)]
+    bars = spark.createDataFrame(rows + odd, "timestamp string, symbol string, close double, volume double")
+    days = ["1900-01-01", "2024-12-31", "2025-01-01", "2025-03-05", "2025-03-06", "2026-02-04", "2999-12-31", None]
+    asked = [(f"{s} {a} {b}", s, a, b) for s in ("A", "B", "C", None) for a in days for b in days]
+    asked += asked[:3]
+    requests = spark.createDataFrame(asked, "request_id string, symbol string, start_date string, end_date string")
+    found = bars_for_requests(bars, requests, bucket_days=7)
+    assert found.columns == ["request_id", *bars.columns]
+    got = sorted((r.request_id, int(r.timestamp)) for r in found.collect())
+
+    def covers(start, end, t):
+        day = str(date(1970, 1, 1) + timedelta(t // DAY))
+        return (start is None or start <= day) and (end is None or day <= end)
+
+    wanted = [
+        (name, int(t)) for name, s, a, b in asked for t, symbol, *_ in rows if s == symbol and covers(a, b, int(t))
+    ]
+    assert got == sorted(wanted) and wanted
+    plan = found._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_requests_of_empty_tables(spark):
+    bars = spark.createDataFrame([], "timestamp string, symbol string, close double, volume double")
+    requests = spark.createDataFrame([("r", "A", None, None)], "request_id string, symbol string, start_date date, end_date date")
+    assert bars_for_requests(bars, requests).count() == 0
+    assert bars_for_requests(bars, requests.limit(0)).count() == 0

@@ -356,6 +356,10 @@ SQL = {
     + CONTRACT_ROWS.format(
         rows="silver WHERE underlying = 'SPY' AND option_type = 'CALL' AND mid_price < 5"
     ),
+    "clustered_slice": QUOTES
+    + CONTRACT_ROWS.format(
+        rows="silver WHERE mid_price >= 5 AND strike_price BETWEEN 110 AND 125"
+    ),
     "compact_preserves_rows": QUOTES + SILVER_ROWS,
     "compact_stored_silver": QUOTES + SILVER_ROWS,
     "ddl_roundtrip": QUOTES + COVERAGE,

@@ -31,7 +31,7 @@ from strikeloom.schema import (
     REJECTED,
     UNDERLYINGS,
 )
-from strikeloom.sinks import journal, maintenance, profiles, statistics
+from strikeloom.sinks import clustering, journal, maintenance, profiles, statistics
 from strikeloom.sinks.layers import (
     SILVER_ORDER,
     bronze_table,
@@ -367,6 +367,16 @@ def materialized_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract_rows(spark.table(target))
 
 
+def clustered_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A slice stored along the curve in many small files, and what one strike range of it holds."""
+    database = loaded(spark, sf_dir)
+    target = f"{database}.wide_clustered"
+    clustering.clustered_slice(
+        spark, silver_table(database), target, "mid_price >= 5", target_bytes=64 * 1024
+    )
+    return contract_rows(spark.table(target).where("strike_price BETWEEN 110 AND 125"))
+
+
 def compact_preserves_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store silver in several files a date, merge them, and read all rows back."""
     table = f"{scratch_database(spark)}.fragmented"
@@ -755,6 +765,7 @@ QUERIES = {
         strategies_shared_scan,
         gold_roundtrip,
         materialized_slice,
+        clustered_slice,
         compact_preserves_rows,
         compact_stored_silver,
         ddl_roundtrip,

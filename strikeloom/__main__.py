@@ -1,4 +1,4 @@
-"""Command line: ``python -m strikeloom --mode dataload|strategy|stream|compact|repair|verify ...``."""
+"""Command line: ``python -m strikeloom --mode dataload|bars|strategy|stream|compact|repair|verify ...``."""
 
 import argparse
 import json
@@ -18,10 +18,10 @@ from strikeloom.streaming.intake import FILES_PER_BATCH, run_intake
 
 def parse(arguments: list[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="strikeloom", description=__doc__)
-    modes = ["dataload", "strategy", "stream", "compact", "repair", "verify"]
+    modes = ["dataload", "bars", "strategy", "stream", "compact", "repair", "verify"]
     parser.add_argument("--mode", required=True, choices=modes)
     parser.add_argument("--database", default="options")
-    parser.add_argument("--path", help="landed quote files (dataload, stream)")
+    parser.add_argument("--path", help="landed quote files (dataload, stream) or bar replies (bars)")
     parser.add_argument("--format", default="csv", choices=["csv", "parquet"])
     parser.add_argument("--bootstrap", action="store_true", help="replace all loaded data")
     parser.add_argument("--allow-empty", action="store_true", help="bootstrap without any files")
@@ -46,7 +46,7 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     parser.add_argument("--files-per-batch", type=int, default=FILES_PER_BATCH)
     parser.add_argument("--archive", help="where processed files are moved (stream)")
     options = parser.parse_args(arguments)
-    if options.mode in ("dataload", "stream") and not options.path:
+    if options.mode in ("dataload", "bars", "stream") and not options.path:
         parser.error(f"--mode {options.mode} needs --path")
     if options.mode == "stream" and not options.checkpoint:
         parser.error("--mode stream needs --checkpoint")
@@ -68,6 +68,8 @@ def run(spark: SparkSession, options: argparse.Namespace) -> bool:
             new_versions=options.new_versions,
             allow_empty=options.allow_empty,
         )
+    elif options.mode == "bars":
+        jobs.load_bars(spark, options.path, options.database)
     elif options.mode == "stream":
         run_intake(
             spark,

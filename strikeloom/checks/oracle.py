@@ -367,3 +367,4 @@ SQL = {
 SQL["strategies_shared_scan"] = SQL["strategies_run"]
 SQL["strategy_from_sql"] = SQL["iron_condor"]
 SQL["strategy_chain_function"] = SQL["custom_strategy_pandas"]
+SQL["bars_loaded"] = SQL["bars_normalised"]

@@ -31,6 +31,7 @@ from strikeloom.schema import (
     REJECTED,
     UNDERLYINGS,
 )
+from strikeloom.sinks import bars as stored_daily
 from strikeloom.sinks import clustering, journal, maintenance, profiles, statistics
 from strikeloom.sinks.layers import (
     SILVER_ORDER,
@@ -200,6 +201,18 @@ def bars_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars.bars_between(stored_bars(spark, sf_dir), "O:S3", "1995-01-01", "1996-12-31")
 
 
+def bars_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars loaded as a job: half of the symbols with prices that later replies correct, then all, twice."""
+    database, early, late = scratch_database(spark), scratch_folder(spark), scratch_folder(spark)
+    replies = bar_replies_from_lineitem(spark, sf_dir)
+    wrong = F.transform("results", lambda bar: bar.withField("c", F.lit(0.5)))
+    replies.where("ticker < 'O:S5'").withColumn("results", wrong).write.json(early)
+    replies.write.json(late)
+    for folder in (early, late, late):
+        jobs.load_bars(spark, folder, database)
+    return stored_daily.stored_bars(spark, database)
+
+
 def bars_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two requests of every supplier, one of them for a symbol that all ask for; some are open or reversed."""
     number = F.col("s_suppkey").cast("int")
@@ -749,6 +762,7 @@ QUERIES = {
         src_file_name,
         src_parquet,
         bars_range,
+        bars_loaded,
         bars_requests,
         bronze_bootstrap,
         bronze_incremental,

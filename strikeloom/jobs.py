@@ -16,8 +16,10 @@ from strikeloom.operators.reports import head, layer_counts
 from strikeloom.plans.registry import ACTIVE, STRATEGIES, Strategy
 from strikeloom.schema import UNDERLYINGS
 from strikeloom.sinks import statistics
+from strikeloom.sinks.bars import absorb_bars
 from strikeloom.sinks.catalog import create_database
 from strikeloom.sinks.layers import gold_table, rejects_table, replace_gold, rules_of, silver_table
+from strikeloom.sources.bars import normalise_bars, read_bar_replies
 from strikeloom.sources.files import READERS
 from strikeloom.streaming.intake import absorb, complete_loads, replace_all
 
@@ -94,6 +96,12 @@ def verify(spark: SparkSession, database: str) -> bool:
     return not differing
 
 
+def load_bars(spark: SparkSession, path: str, database: str) -> None:
+    """Landed replies of the bars service into the database's table of daily bars."""
+    create_database(spark, database)
+    absorb_bars(normalise_bars(read_bar_replies(spark, path)), database)
+
+
 def run_strategy(
     spark: SparkSession,
     database: str,

@@ -1,6 +1,11 @@
 import json
 from datetime import date, timedelta
+from uuid import uuid4
 
+from strikeloom.__main__ import parse, run
+from strikeloom.checks.scratch import scratch_database
+from strikeloom.sinks.bars import absorb_bars, bars_table, stored_bars
+from strikeloom.sinks.catalog import create_database
 from strikeloom.sources.bars import bars_between, bars_for_requests, normalise_bars, read_bar_replies
 
 DAY = 86_400_000
@@ -67,3 +72,29 @@ def test_requests_of_empty_tables(spark):
     requests = spark.createDataFrame([("r", "A", None, None)], "request_id string, symbol string, start_date date, end_date date")
     assert bars_for_requests(bars, requests).count() == 0
     assert bars_for_requests(bars, requests.limit(0)).count() == 0
+
+
+def test_loaded_bars_are_replaced_one_by_one(spark, tmp_path):
+    database = f"bars_{uuid4().hex}"
+    create_database(spark, database, str(tmp_path / "db"))
+    layout = "timestamp string, symbol string, close double, volume double"
+    month = 31 * DAY
+    first = [(str(FIRST), "A", 1.0, 1.0), (str(FIRST), None, 1.0, 1.0), ("soon", "A", 1.0, 1.0), (str(FIRST + month), "A", 1.0, 1.0)]
+    absorb_bars(spark.createDataFrame(first, layout), database)
+    second = [(str(FIRST), "A", 2.0, 1.0), (str(FIRST), "A", 2.0, 3.0), (str(FIRST), None, 5.0, None), ("soon", "A", 6.0, 1.0), (str(FIRST + DAY), "A", 7.0, 1.0)]
+    for _ in range(2):
+        absorb_bars(spark.createDataFrame(second, layout), database)
+    absorb_bars(spark.createDataFrame([], layout), database)
+    rows = stored_bars(spark, database)
+    assert rows.columns == ["timestamp", "symbol", "close", "volume"]
+    wanted = [second[1], second[2], second[3], second[4], first[3]]
+    assert sorted(map(repr, map(tuple, rows.collect()))) == sorted(map(repr, wanted))
+    assert {row.month for row in spark.table(bars_table(database)).select("month").collect()} == {None, "2025-01", "2025-02"}
+
+
+def test_bars_from_the_command_line(spark, tmp_path):
+    database = scratch_database(spark)
+    reply = {"ticker": "O:B", "results": [{"t": FIRST, "c": 7, "v": 2.5}]}
+    (tmp_path / "replies.json").write_text(json.dumps(reply))
+    assert run(spark, parse(["--mode", "bars", "--path", str(tmp_path), "--database", database]))
+    assert [tuple(row) for row in stored_bars(spark, database).collect()] == [(str(FIRST), "O:B", 7.0, 2.5)]

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strikeloom.sinks.dealing import STREAMED_TASKS
 from strikeloom.sinks.maintenance import TARGET_FILE_BYTES, file_sizes
 
 DIMENSIONS = ("underlying", "expiry_date", "strike_price")
@@ -65,10 +66,16 @@ def store_clustered(
     """Store ``rows`` as ``table`` in up to ``files`` files along the curve.
 
     Ranges are cut by a sample of key and ``within``, so the rows of one contract, however many,
-    spread over several files by time. ``options`` go to the Parquet writer.
+    spread over several files by time. ``options`` go to the Parquet writer. Many files are cut out
+    of fewer ranges, each in the order of the curve: a shuffle to as many would hold all rows of a
+    task in memory.
     """
     key = curve_key(rows, dimensions)
-    placed = rows.withColumn("_place", key).repartitionByRange(max(1, files), "_place", within)
+    tasks = max(1, files)
+    if files > 2 * STREAMED_TASKS:
+        tasks = STREAMED_TASKS
+        options = {"maxRecordsPerFile": str(max(1, ceil(rows.count() / (files - tasks)))), **options}
+    placed = rows.withColumn("_place", key).repartitionByRange(tasks, "_place", within)
     ordered = placed.sortWithinPartitions("_place", within).drop("_place")
     ordered.write.mode("overwrite").format("parquet").options(**options).saveAsTable(table)
 

@@ -3,20 +3,23 @@
 from pyspark.sql import DataFrame
 
 from strikeloom.schema import QUOTE_SCHEMA
+from strikeloom.sinks.dealing import dealt
 
 
 def land_quotes(quotes: DataFrame, folder: str) -> str:
     """Write one CSV file per ``file_name`` and return the folder.
 
-    Spark writes the data, splitting a date too large for one task over several files; the driver
-    only renames the results, since Spark chooses its own file names. Every name keeps its date.
+    Spark writes the data, splitting a date with too many rows for one task over several files; the
+    driver only renames the results, since Spark chooses its own file names. Every name keeps its date.
     """
     spark = quotes.sparkSession
     parts, landing = f"{folder}/parts", f"{folder}/landing"
+    rows = quotes.select(*QUOTE_SCHEMA.fieldNames(), "file_name")
+    by_file = dealt(rows, rows, "file_name")
+    if by_file is None:
+        by_file = rows.hint("rebalance", "file_name")
     (
-        quotes.select(*QUOTE_SCHEMA.fieldNames(), "file_name")
-        .hint("rebalance", "file_name")
-        .write.partitionBy("file_name")
+        by_file.write.partitionBy("file_name")
         .option("header", True)
         .option("timeZone", "UTC")
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSS'Z'")

@@ -16,6 +16,7 @@ from strikeloom.sinks.catalog import (
     set_table_properties,
     table_properties,
 )
+from strikeloom.sinks.dealing import dealt
 from strikeloom.sinks.journal import FileKey
 from strikeloom.sinks.partitioned import replace_partitions, replace_table
 
@@ -98,16 +99,22 @@ def _rejected(quotes: DataFrame, uris: list[str]) -> DataFrame:
 
 
 def _stored_rows(quotes: DataFrame, uris: list[str], seen: Observation) -> DataFrame:
-    """The rows to store. Scans that keep unreadable lines apart name their rows after the files."""
+    """The rows to store. Scans that keep unreadable lines apart name their rows after the files.
+
+    A task of such a scan has as many rows as fit its share of the text. Others read Parquet, which
+    may hold any number of rows in as many bytes, so these are dealt to tasks by their number.
+    """
     scanned = REJECTED in quotes.columns
     rows = quotes.observe(seen, _number_rejected(quotes))
     if scanned:
-        rows = rows.where(F.col(REJECTED).isNull()).drop(REJECTED)
-    return _with_origin(rows, uris, scanned)
+        return _with_origin(rows.where(F.col(REJECTED).isNull()).drop(REJECTED), uris, scanned)
+    rows = _with_origin(rows, uris, scanned)
+    by_file = dealt(rows, _with_origin(quotes, uris, scanned), *BRONZE_KEY)
+    return rows if by_file is None else by_file
 
 
 def replace_bronze(quotes: DataFrame, table: str, rejects: str) -> int:
-    """All landed files at once. Each input split belongs to one file, so nothing is shuffled.
+    """All landed files at once. Each split of text belongs to one file, so no text is shuffled.
 
     Lines that cannot be read go to ``rejects``, by a second scan only if there are any; returns
     how many there are.
@@ -176,18 +183,24 @@ def rebuild_silver(
     """Silver from all of bronze.
 
     Bronze partitions hold one file, hence one trade date each, so a task meets few dates and
-    writes few files without a shuffle. ``regroup`` gathers the rows of a date into one part first:
-    worth its shuffle where files landed small and many. A large date is still split over several
-    tasks.
+    writes few files; rows are shuffled only where they are too many for a task. ``regroup`` gathers
+    the rows of a date into one part first: worth its shuffle where files landed small and many. A
+    large date is still split over several tasks.
     """
-    rows = enrichment(spark.table(bronze))
-    replace_table(_in_parts(rows, regroup), silver, SILVER_KEY, SILVER_ORDER)
+    stored = spark.table(bronze)
+    replace_table(_in_parts(enrichment(stored), stored, regroup), silver, SILVER_KEY, SILVER_ORDER)
 
 
-def _in_parts(rows: DataFrame, regroup: bool) -> DataFrame:
+def _in_parts(rows: DataFrame, stored: DataFrame, regroup: bool) -> DataFrame:
+    """Silver rows with their part, dealt to tasks; ``stored`` has the bronze rows they come from."""
     if regroup:
-        return rows.withColumn(PART, F.lit(MERGED)).hint("rebalance", "trade_date")
-    return rows.withColumn(PART, F.col(SOURCE))
+        rows, by = rows.withColumn(PART, F.lit(MERGED)), BY_DATE
+    else:
+        rows, by = rows.withColumn(PART, F.col(SOURCE)), BRONZE_KEY
+    by_part = dealt(rows, stored, *by)
+    if by_part is None:
+        return rows.hint("rebalance", "trade_date") if regroup else rows
+    return by_part
 
 
 def on_partition(column: str, values: set[str | None]) -> Column:
@@ -222,13 +235,13 @@ def refresh_silver(
         return
     stored = set(partition_keys(spark, silver, "trade_date", dates)) if spark.catalog.tableExists(silver) else set()
     if regroup:
-        rows = enrichment(spark.table(bronze).where(on_partition("trade_date", dates)))
-        written = replace_partitions(_in_parts(rows, True), silver, SILVER_KEY, SILVER_ORDER)
+        kept = spark.table(bronze).where(on_partition("trade_date", dates))
+        written = replace_partitions(_in_parts(enrichment(kept), kept, True), silver, SILVER_KEY, SILVER_ORDER)
         drop_partitions(spark, silver, SILVER_KEY, stored - written)
         return
     _take_out(spark, silver, {day for day, part in stored if part == MERGED}, files)
-    rows = enrichment(files_of(spark.table(bronze), files))
-    written = replace_partitions(_in_parts(rows, False), silver, SILVER_KEY, SILVER_ORDER)
+    kept = files_of(spark.table(bronze), files)
+    written = replace_partitions(_in_parts(enrichment(kept), kept, False), silver, SILVER_KEY, SILVER_ORDER)
     drop_partitions(spark, silver, SILVER_KEY, (stored & files) - written)
 
 

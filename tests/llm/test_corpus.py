@@ -442,3 +442,15 @@ def test_gates_are_no_higher_than_any_accepted_loss():
             runs = decontamination.grams(words, 3)
             if len(runs & decontamination.grams(left, 3)) / len(runs) >= 0.6:
                 assert sum(weight[w] for w in gone) <= bound + 1e-9
+
+
+def test_near_passages_of_three_variants_are_linked_pairwise(spark):
+    passage = words_of(1, 90)
+    variants = [list(passage) for _ in range(3)]
+    variants[1][20] = "other"
+    variants[2][70] = "another"
+    copy = list(variants[1])
+    texts = [words_of(10 + k, 20) + v for k, v in enumerate(variants)] + [words_of(11, 20) + copy]
+    found = {(r.doc_id, r.partner_id) for r in near_ids(spark, texts)}
+    # The passage of 2 lies in one shared with 0, and is one shared with 1 all the same; 3 is a copy of 1.
+    assert found == {(1, 0), (2, 0), (2, 1), (3, 1)}

@@ -7,7 +7,7 @@ cannot meet are not made: hashes of what lies outside an edit first show which l
 edit apart, and where.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strikeloom.llm.identity import fresh_name
@@ -33,11 +33,6 @@ def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     return trimmed.where(F.length("line") >= min_chars)
 
 
-def _identified(lines: DataFrame) -> DataFrame:
-    """Adds the 128-bit identity of a line's text."""
-    return lines.withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")})
-
-
 def _half_keys(min_chars: int) -> Column:
     """Hashes of a line's beginning and end, of which lines one edit apart share one.
 
@@ -60,14 +55,23 @@ def _half_keys(min_chars: int) -> Column:
     return F.when(border, F.array(*pair(half), *pair(smaller))).otherwise(F.array(*pair(half)))
 
 
-def _candidates(docs: DataFrame, firsts: DataFrame, min_chars: int) -> DataFrame:
+def _seen(docs: DataFrame, shortest: int, min_chars: int) -> DataFrame:
+    """Rows (h1, h2, doc_id, line_no, keys): each line's 128-bit identity, place and half keys.
+
+    Texts are split once for all that needs no more of a line than its hashes.
+    """
+    keys = F.when(F.length("line") >= min_chars, _half_keys(min_chars))
+    identity = {"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line"), "keys": keys}
+    lines = _lines(docs, shortest).withColumns(identity)
+    return stored(lines.select("h1", "h2", "doc_id", "line_no", "keys"))
+
+
+def _candidates(docs: DataFrame, seen: DataFrame, firsts: DataFrame) -> DataFrame:
     """Rows (doc_id, line_no, h1, line): first occurrences of lines that share half with another line."""
-    keyed = _identified(_lines(docs, min_chars)).select(
-        "h1", "h2", F.explode(_half_keys(min_chars)).alias("key")
-    )
+    keyed = seen.select("h1", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b"))
     meeting = keyed.join(shared.where("a <> b").select("key"), "key", "left_semi")
-    found = firsts.join(meeting.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi")
+    found = firsts.join(meeting.select("h1").distinct(), "h1", "left_semi")
     wanted = found.groupBy(F.col("first.doc_id").alias("doc_id")).agg(
         F.collect_list(F.struct(F.col("first.line_no").alias("line_no"), "h1")).alias("wanted")
     )
@@ -81,16 +85,17 @@ def _candidates(docs: DataFrame, firsts: DataFrame, min_chars: int) -> DataFrame
     return rows.where(F.xxhash64("line") == F.col("h1")).dropDuplicates(["doc_id", "line_no", "h1"])
 
 
-def _narrowed(candidates: DataFrame) -> DataFrame:
-    """Candidates with the places (start to stop) an edit between them and another line can be at.
+def _stretches(candidates: DataFrame) -> DataFrame:
+    """Rows (h1, stretches): where in a line an edit between it and another can be, as (start, rest).
 
     Lines one edit apart agree before the stretch of STEP characters with their first difference,
     and after it up to a multiple of STEP from their end. The multiple follows from the shorter
     line's length, so each line gives its hash for its own length and for one character less.
+    Lines stand for themselves by their hash here, so that their texts are not shuffled.
     """
     n = F.length("line")
     starts = F.sequence(F.lit(0), F.floor(n / STEP).cast("int") * STEP, F.lit(STEP))
-    each = candidates.select("*", F.explode(starts).alias("start"))
+    each = candidates.select("h1", "line", F.explode(starts).alias("start"))
 
     def rest(size: Column) -> Column:
         steps = F.floor((size - F.col("start") - STEP) / STEP).cast("int")
@@ -98,45 +103,47 @@ def _narrowed(candidates: DataFrame) -> DataFrame:
 
     both = each.select("*", F.explode(F.array_distinct(F.array(rest(n), rest(n - 1)))).alias("rest"))
     outside = F.xxhash64("start", "rest", F.left("line", "start"), F.right("line", "rest"))
-    keyed = stored(both.withColumn("key", outside))
+    keyed = stored(both.select("h1", "start", "rest", outside.alias("key")))
     shared = keyed.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b"))
     meeting = keyed.join(shared.where("a <> b").select("key"), "key", "left_semi")
-    return meeting.withColumn("stop", n - F.col("rest") - 1).where("start <= stop")
+    return meeting.groupBy("h1").agg(F.collect_set(F.struct("start", "rest")).alias("stretches"))
+
+
+def _variants(candidates: DataFrame) -> DataFrame:
+    """Rows (v, at, place): hashes of lines without the character ``at``, where an edit can be."""
+    found = candidates.join(_stretches(candidates), "h1")
+    n = F.length("line")
+    places = F.transform(
+        F.filter("stretches", lambda s: s["start"] < n - s["rest"]),
+        lambda s: F.sequence(s["start"], n - s["rest"] - 1),
+    )
+    rows = found.select(
+        "line",
+        F.struct("doc_id", "line_no", "h1").alias("place"),
+        F.explode(F.array_distinct(F.flatten(places))).alias("at"),
+    )
+    shorter = F.concat(F.left("line", F.col("at")), F.substr("line", F.col("at") + 2))
+    return rows.select(F.xxhash64(shorter).alias("v"), "at", "place")
 
 
 def _near_lines(candidates: DataFrame) -> DataFrame:
     """Rows (doc_id, line_no): first occurrences of lines one edit from an earlier line.
 
-    Each group of equal variants gives its members only its earliest line, not each other.
+    Equal variants and the whole line that equals them meet in one shuffle. Each line is given its
+    earliest partner only: of those whose variant at the same place is equal (a replacement), the
+    line that its variant is (an insertion) and those whose variant is the line.
     """
-    place = F.struct("doc_id", "line_no", "h1").alias("place")
-    rows = _narrowed(candidates).select(
-        "line", place, F.explode(F.sequence("start", "stop")).alias("at")
-    )
-    shorter = F.concat(F.left("line", F.col("at")), F.substr("line", F.col("at") + 2))
-    variants = stored(rows.select(F.xxhash64(shorter).alias("v"), "at", "place").distinct())
-
-    replaced = variants.groupBy("v", "at").agg(
-        F.min("place").alias("earliest"), F.count(F.lit(1)).alias("n")
-    )
-    links = [
-        variants.join(replaced.where("n > 1"), ["v", "at"])
-        .where("earliest < place")
-        .select("place", "earliest")
-    ]
-    whole = candidates.select(F.xxhash64("line").alias("v"), place.alias("whole"))
-    inserted = variants.select("v", "place").distinct().join(whole, "v").where("place <> whole")
-    links.append(
-        inserted.where("whole < place").select("place", F.col("whole").alias("earliest"))
-    )
-    links.append(
-        inserted.where("place < whole")
-        .groupBy(F.col("whole").alias("p"))
-        .agg(F.min("place").alias("earliest"))
-        .select(F.col("p").alias("place"), "earliest")
-    )
-    pairs = links[0].unionAll(links[1]).unionAll(links[2])
-    pairs = pairs.groupBy("place").agg(F.min("earliest").alias("earliest"))
+    place = F.struct("doc_id", "line_no", "h1")
+    whole = candidates.select(F.col("h1").alias("v"), F.lit(-1).alias("at"), place.alias("place"))
+    met = stored(_variants(candidates)).unionByName(whole).repartition("v")
+    same, at_place = Window.partitionBy("v"), Window.partitionBy("v", "at")
+    of_variants = F.when(F.col("at") >= 0, F.col("place"))
+    of_wholes = F.when(F.col("at") < 0, F.col("place"))
+    earliest = F.when(
+        F.col("at") >= 0, F.least(F.min("place").over(at_place), F.min(of_wholes).over(same))
+    ).otherwise(F.min(of_variants).over(same))
+    linked = met.withColumn("earliest", earliest).where("earliest < place")
+    pairs = linked.groupBy("place").agg(F.min("earliest").alias("earliest"))
 
     texts = candidates.select(place.alias("p"), "line")
     later = pairs.join(texts, F.col("place") == F.col("p")).select(
@@ -157,18 +164,18 @@ def dropped_lines(
     if max_edits not in (0, 1):
         raise ValueError("lines are compared exactly or within one edit")
     shortest = min_chars if min_exact is None else max(1, min_exact)
-    lines = _identified(_lines(docs, shortest)).select("h1", "h2", "doc_id", "line_no")
+    seen = _seen(docs, shortest, min_chars)
     firsts = stored(
-        lines.groupBy("h1", "h2").agg(
+        seen.groupBy("h1", "h2").agg(
             F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("n")
         )
     )
-    again = lines.join(firsts.where("n > 1"), ["h1", "h2"]).where(
+    again = seen.join(firsts.where("n > 1"), ["h1", "h2"]).where(
         F.struct("doc_id", "line_no") > F.col("first")
     )
     drops = again.select("doc_id", "line_no")
     if max_edits:
-        drops = drops.unionAll(_near_lines(stored(_candidates(docs, firsts, min_chars))))
+        drops = drops.unionAll(_near_lines(stored(_candidates(docs, seen, firsts))))
     return drops
 
 
@@ -199,7 +206,14 @@ def without_repeated_lines(
     joined = docs.join(listed, F.col("doc_id") == F.col(number), "left")
     lines = _split(F.col("text"))
     numbers = F.sequence(F.lit(0), F.size(lines) - 1)
-    kept = F.transform(F.array_except(numbers, dropped), lambda i: F.get(lines, i))
+    # The lines are bound to a name: written into the inner function, they would be split for each number.
+    kept = F.get(
+        F.transform(
+            F.array(lines),
+            lambda own: F.transform(F.array_except(numbers, dropped), lambda i: F.get(own, i)),
+        ),
+        0,
+    )
     counted = joined.withColumns(
         {
             "n_lines": F.coalesce(F.when(F.col("text").isNotNull(), F.size(lines)), F.lit(0)).cast("long"),

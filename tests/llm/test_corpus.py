@@ -454,3 +454,17 @@ def test_near_passages_of_three_variants_are_linked_pairwise(spark):
     found = {(r.doc_id, r.partner_id) for r in near_ids(spark, texts)}
     # The passage of 2 lies in one shared with 0, and is one shared with 1 all the same; 3 is a copy of 1.
     assert found == {(1, 0), (2, 0), (2, 1), (3, 1)}
+
+
+def test_rows_that_share_a_key_are_made_once(spark, tmp_path):
+    def made(batches):
+        with (tmp_path / "made").open("a") as log:
+            log.write("x")
+        yield from batches
+
+    rows = [(k % 7, k % 3 if k % 7 else 5, k) for k in range(42)] + [(0, 5, 1), (None, 1, 2), (None, 2, 3)]
+    frame = spark.createDataFrame(rows, "key bigint, doc_id bigint, place int").coalesce(1)
+    found = compact_windows.shared(frame.mapInArrow(made, frame.schema))
+    wanted = [r for r in rows if r[0]]
+    assert sorted(tuple(r) for r in found.collect()) == sorted(wanted)
+    assert (tmp_path / "made").read_text() == "x"

@@ -14,9 +14,12 @@ from strikeloom.sinks.catalog import (
     set_table_properties,
     table_properties,
 )
+from strikeloom.sinks.dealing import STREAMED_TASKS
 
 # Fixed value: size data files should have.
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+# Rows of a file that one task sorts: half a gigabyte to a gigabyte of quotes, which it need not spill.
+ROWS_PER_FILE = 2_000_000
 # Sorted anew, the same rows may take a little less room: not worth another rewrite.
 TOLERANCE = 1.1
 # Property of a copy that holds all rows it was made for.
@@ -44,10 +47,19 @@ def file_sizes(spark: SparkSession, table: str, column: str) -> DataFrame:
 def _bloated(
     spark: SparkSession, table: str, column: str, target_bytes: int
 ) -> dict[str | None, int]:
-    """Files wanted by each partition that holds more than its bytes call for."""
+    """Files wanted by each partition that holds more than its bytes, or rows to sort, call for."""
     sizes = file_sizes(spark, table, column)
-    many = sizes.where(F.col("files") > F.ceil(F.col("bytes") * TOLERANCE / target_bytes))
-    return {value: ceil(size / target_bytes) for value, _, size in many.collect()}
+    many = sizes.where(F.col("files") > F.ceil(F.col("bytes") * TOLERANCE / target_bytes)).collect()
+    if not many:
+        return {}
+    # No column is read for that.
+    counted = spark.table(table).groupBy(F.col(column).cast("string")).count().collect()
+    numbers = {value: number for value, number in counted}
+    most = max(ROWS_PER_FILE, ceil(sum(numbers.values()) / STREAMED_TASKS))
+    wanted = {
+        value: max(ceil(size / target_bytes), ceil(numbers.get(value, 0) / most)) for value, _, size in many
+    }
+    return {value: wanted[value] for value, files, _ in many if files > wanted[value]}
 
 
 def _key(column: str) -> Column:
@@ -59,7 +71,11 @@ def _partitions(rows: DataFrame, column: str, values: list[str | None]) -> DataF
 
 
 def _grouped(
-    rows: DataFrame, column: str, order: tuple[str, ...], wanted: dict[str | None, int]
+    rows: DataFrame,
+    column: str,
+    order: tuple[str, ...],
+    wanted: dict[str | None, int],
+    further: tuple[str, ...] = (),
 ) -> DataFrame:
     """One task, hence one file, per wanted file. Rows are dealt out in turn.
 
@@ -70,12 +86,14 @@ def _grouped(
     for value, files in wanted.items():
         plan.append((value or NULL_PARTITION, first, files))
         first += files
-    tasks = spark.createDataFrame(plan, "_value string, _first int, _files int")
+    # Without the hint all rows are shuffled and sorted for the join before they are dealt out.
+    tasks = F.broadcast(spark.createDataFrame(plan, "_value string, _first int, _files int"))
     numbered = rows.withColumn("_row", F.monotonically_increasing_id())
     placed = numbered.join(tasks, _key(column) == F.col("_value")).repartitionById(
         first, F.col("_first") + F.pmod("_row", "_files").cast("int")
     )
-    return placed.sortWithinPartitions(column, *order).select(*rows.columns)
+    # A table's writer wants the rows of a task by all partition columns, or sorts them again.
+    return placed.sortWithinPartitions(column, *further, *order).select(*rows.columns)
 
 
 def _copy_of(table: str) -> str:
@@ -94,9 +112,9 @@ def _require_same_counts(copy: DataFrame, rows: DataFrame, column: str) -> None:
 def _take_over(
     spark: SparkSession, table: str, column: str, order: tuple[str, ...], wanted: dict
 ) -> None:
-    copied = _grouped(spark.table(_copy_of(table)), column, order, wanted)
-    replace_written_partitions_only(spark, table)
     columns = tuple(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
+    copied = _grouped(spark.table(_copy_of(table)), column, order, wanted, columns[1:])
+    replace_written_partitions_only(spark, table)
     if columns != (column,):
         # The copy may hold the rows in other parts of their values.
         drop_partitions(spark, table, columns, partition_keys(spark, table, column, wanted))
@@ -128,7 +146,9 @@ def compact(
 ) -> list[str | None]:
     """Rewrite partitions that hold more files than their bytes call for; returns their values.
 
-    The rows are first written to a table beside, with as many files as the stored bytes call for.
+    The rows are first written to a table beside, with as many files as the stored bytes call for,
+    or more where a file would get more than ROWS_PER_FILE rows to sort (beyond STREAMED_TASKS times
+    as many in the table, that share of them).
     Where rows got smaller by that, the copy is grouped again, so a second run finds nothing to do.
     Only a copy with the same row counts replaces the partitions, and it is dropped after that: at
     any moment one of the two is whole. ``column`` is the table's first partition column; ``same``

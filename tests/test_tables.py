@@ -426,6 +426,28 @@ def test_compaction_settles(spark, database, target):
     assert not spark.catalog.tableExists(f"{table}__compact")
 
 
+def test_compaction_shuffles_rows_once_a_write(spark, database):
+    table = f"{database}.shuffled"
+    _repeating(spark, table, 4)
+    plan = maintenance._grouped(spark.table(table), "trade_date", ("a", "b"), {"2025-01-01": 1, "2025-01-02": 1})
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count(" Exchange ") == plan.count("REPARTITION_BY_NUM") == 1
+    assert plan.count(" Sort ") == 1
+
+
+def test_compacted_files_have_no_more_rows_than_a_task_sorts(spark, database, monkeypatch):
+    monkeypatch.setattr(maintenance, "ROWS_PER_FILE", 100_000)
+    table = f"{database}.many_rows"
+    _repeating(spark, table, 12)
+    before = spark.table(table).selectExpr("sum(hash(*)) AS s", "count(*) AS n").first()
+    maintenance.compact(spark, table, "trade_date", ("a", "b"))
+    assert maintenance.compact(spark, table, "trade_date", ("a", "b")) == []
+    files = spark.table(table).selectExpr("trade_date", "input_file_name() AS f").groupBy("trade_date", "f").count()
+    counts = sorted((str(r.trade_date), r["count"]) for r in files.collect())
+    assert len(counts) == 5 and max(n for _, n in counts) <= 100_000
+    assert spark.table(table).selectExpr("sum(hash(*)) AS s", "count(*) AS n").first() == before
+
+
 def test_compaction_that_broke_off_is_finished_from_its_copy(spark, database, monkeypatch):
     table = f"{database}.broken_off"
     _repeating(spark, table, 4)

@@ -468,3 +468,56 @@ def test_rows_that_share_a_key_are_made_once(spark, tmp_path):
     wanted = [r for r in rows if r[0]]
     assert sorted(tuple(r) for r in found.collect()) == sorted(wanted)
     assert (tmp_path / "made").read_text() == "x"
+
+
+def family(n, words, seed):
+    """Texts of one passage, each with a word of its own."""
+    base = words_of(seed, words)
+    return [base[:k] + [f"own{seed}x{k}"] + base[k + 1 :] for k in range(0, 7 * n, 7)]
+
+
+def test_texts_of_near_copies_travel_once_to_be_compared(spark, monkeypatch):
+    texts = family(12, 150, 1) + family(9, 120, 2)
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    pairs = [(a, b) for a in range(21) for b in range(a) if (a < 12) == (b < 12)]
+    table = spark.createDataFrame(pairs, "doc_id bigint, partner_id bigint")
+    held = compact_windows.sketched(table, frame, 46)
+    for tokens, most in ((10**6, 1), (300, 10)):
+        monkeypatch.setattr(compact_windows, "TOKENS_IN_BLOCK", tokens)
+        placed = compact_windows.blocks(table, held).collect()
+        assert sorted((r.doc_id, r.partner_id) for r in placed) == sorted(pairs)
+        sent = {(r.block, r.part, d) for r in placed for d in (r.doc_id, r.partner_id)}
+        assert len(sent) == 21 if most == 1 else len({s[1] for s in sent}) > 10
+        assert {(r.doc_id, r.partner_id) for r in near_ids(spark, texts)} == set(pairs)
+
+
+def test_pairs_without_enough_shared_tokens_are_left_out_before_their_texts_meet(spark):
+    line = words_of(1, 14)
+    texts = [words_of(10 + k, 100) + line + words_of(50 + k, 100) for k in range(20)] + family(5, 150, 3)
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    pairs = [(a, b) for a in range(25) for b in range(a)]
+    table = spark.createDataFrame(pairs, "doc_id bigint, partner_id bigint")
+    kept = compact_windows.promising_pairs(table, compact_windows.sketched(table, frame, 46), 46, 0.8)
+    near = {(a, b) for a in range(20, 25) for b in range(20, a)}
+    found = {tuple(r) for r in kept.collect()}
+    assert near <= found and len(found) <= len(near) + 5
+
+
+def test_texts_of_repeated_lines_compare_few_stretches(monkeypatch):
+    asked = []
+    shares = compact_windows.Pair.shares
+
+    def counted(pair, starts, begins):
+        asked.append(len(starts))
+        return shares(pair, starts, begins)
+
+    monkeypatch.setattr(compact_windows.Pair, "shares", counted)
+    pick = random.Random(8)
+    lines = [words_of(k, 12) for k in range(6)]
+    a, b = (sum((pick.choice(lines) for _ in range(n)), []) for n in (30, 150))
+    passage = words_of(99, 60)
+    x, y = a + passage + a, b + passage[:30] + ["new"] + passage[30:] + b
+    found = compact_windows.passages(*(compact_windows.shingles(" ".join(t)) for t in (x, y)), 46, 0.8)
+    assert any(i <= len(a) and len(a) + 56 <= j for i, j, _, _ in found)
+    # Alignments, of which most cannot reach the similarity, are far more.
+    assert sum(asked) < 10_000

@@ -482,8 +482,9 @@ def test_texts_of_near_copies_travel_once_to_be_compared(spark, monkeypatch):
     pairs = [(a, b) for a in range(21) for b in range(a) if (a < 12) == (b < 12)]
     table = spark.createDataFrame(pairs, "doc_id bigint, partner_id bigint")
     held = compact_windows.sketched(table, frame, 46)
-    for tokens, most in ((10**6, 1), (300, 10)):
+    for tokens, several, most in ((10**6, 10**3, 1), (300, 10**3, 10), (10**6, 4, 10)):
         monkeypatch.setattr(compact_windows, "TOKENS_IN_BLOCK", tokens)
+        monkeypatch.setattr(compact_windows, "PAIRS_IN_BLOCK", several)
         placed = compact_windows.blocks(table, held).collect()
         assert sorted((r.doc_id, r.partner_id) for r in placed) == sorted(pairs)
         sent = {(r.block, r.part, d) for r in placed for d in (r.doc_id, r.partner_id)}

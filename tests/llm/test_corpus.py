@@ -522,3 +522,56 @@ def test_texts_of_repeated_lines_compare_few_stretches(monkeypatch):
     assert any(i <= len(a) and len(a) + 56 <= j for i, j, _, _ in found)
     # Alignments, of which most cannot reach the similarity, are far more.
     assert sum(asked) < 10_000
+
+
+def test_documents_that_share_many_keys_are_paired_once(spark, monkeypatch):
+    rows = [(key, doc) for key in range(400) for doc in range(30)] + [(9000 + key, key % 7) for key in range(70)]
+    rows += [(500, 3), (500, 40), (501, 40), (501, 40), (502, 41), (None, 42), (None, 43)]
+    frame = spark.createDataFrame(rows, "key bigint, doc_id bigint")
+    wanted = {(a, b) for a in range(30) for b in range(a)} | {(40, 3)}
+    # The 400 keys have one set of documents, which is in the table of pairs once.
+    assert compact_windows.alike_sets(frame).count() == 32
+    for marked in (compact_windows.PAIRS_MARKED, 50):
+        monkeypatch.setattr(compact_windows, "PAIRS_MARKED", marked)
+        found = compact_windows.candidates(frame)
+        assert sorted(tuple(r) for r in found.collect()) == sorted(wanted)
+        assert "SortMergeJoin" not in found._jdf.queryExecution().toString()
+    names = frame.selectExpr("key", "concat('d', lpad(doc_id, 3, '0')) AS doc_id")
+    found = compact_windows.candidates(names).collect()
+    assert {(int(r.doc_id[1:]), int(r.partner_id[1:])) for r in found} == wanted
+
+
+def test_a_text_goes_once_to_a_block_to_be_tested_on_sketches(spark, monkeypatch):
+    texts = family(12, 150, 1) + family(9, 120, 2)
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    pairs = [(a, b) for a in range(21) for b in range(a) if (a < 12) == (b < 12)]
+    table = spark.createDataFrame(pairs, "doc_id bigint, partner_id bigint")
+    monkeypatch.setattr(compact_windows, "PAIRS_TESTED", 5)
+    held = compact_windows.sketched(table, frame, 46)
+    placed = compact_windows.blocks(table, held, tested=True).collect()
+    assert sorted((r.doc_id, r.partner_id) for r in placed) == sorted(pairs)
+    sent = {(r.block, r.part, r.doc_id) for r in placed}
+    assert len(sent) == len({(r.block, r.doc_id) for r in placed}) == 19 and len({s[:2] for s in sent}) > 8
+    kept = compact_windows.promising_pairs(table, held, 46, 0.8)
+    assert sorted(tuple(r) for r in kept.collect()) == sorted(pairs)
+
+
+def test_texts_are_compared_with_a_partner_together_as_each_alone(monkeypatch):
+    pick = random.Random(11)
+    lines = [words_of(700 + k, 12) for k in range(5)]
+    texts = family(14, 130, 5) + [words_of(900 + k, 30) + f for k, f in enumerate(family(6, 70, 5))]
+    texts += [sum((pick.choice(lines) for _ in range(n)), []) for n in (6, 30, 80)] + [words_of(1, 20), ["a"] * 300]
+    texts += [texts[0] + texts[20] + texts[3], list(texts[2])]
+    tokens = [compact_windows.shingles(" ".join(t)) for t in texts]
+    made = []
+    start = compact_windows.Pair.__init__
+    monkeypatch.setattr(compact_windows.Pair, "__init__", lambda self, *a: made.append(0) or start(self, *a))
+    for at_once in (compact_windows.MATCHES_AT_ONCE, 300):
+        monkeypatch.setattr(compact_windows, "MATCHES_AT_ONCE", at_once)
+        several = compact_windows.Texts(tokens, 46, 0.8)
+        for other in range(len(texts)):
+            made.clear()
+            found = dict(several.passages(list(range(len(texts))), other))
+            assert len(made) <= 1 or at_once == 300
+            for own in range(len(texts)):
+                assert found.get(own, []) == compact_windows.passages(tokens[own], tokens[other], 46, 0.8)

@@ -30,7 +30,7 @@ LEAST_TRUSTED = 20
 # With fewer than this many, the extremes seen are no quantiles yet and are widened.
 MANY_TRUSTED = 200
 # Texts are dealt to two halves by their hash; a model learns from one and scores the other.
-HALF = "\x00"
+HALF = "\x1f"
 
 
 def packed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
